@@ -86,13 +86,12 @@ def quota_status(usage: DataFrame, monitors: DataFrame, triggers: DataFrame,
         F.sum("b_credits").alias("used_credits"))
 
     # 2) the bucket in which each level is crossed (level% of quota)
-    t = bounded(triggers, config_rows).alias("t")
-    need = F.col("quota") * F.col("t.level") / F.lit(100.0)
-    crossing = (b.join(t, F.col("monitor") == F.col("t.monitor"))
+    t = bounded(triggers.select("monitor", "level", "action"), config_rows)
+    need = F.col("quota") * F.col("level") / F.lit(100.0)
+    crossing = (b.join(t, "monitor")
                 .where((F.col("cum_end").cast("double") >= need)
                        & (F.col("cum_start").cast("double") < need))
-                .select("monitor", "month", "bucket", "cum_start",
-                        F.col("t.level").alias("level"), F.col("t.action").alias("action"),
+                .select("monitor", "month", "bucket", "cum_start", "level", "action",
                         need.alias("need")))
 
     # 3) walk only those buckets' rows to find the exact crossing row

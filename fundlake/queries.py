@@ -55,3 +55,279 @@ def disbursement_lag_valid(spark, sf_dir):
 @register("program_efficiency")
 def program_efficiency(spark, sf_dir):
     return parity(reports.program_efficiency(_layers(spark, sf_dir).tables()))
+
+
+# ------------------------------------------------------------ cleansing ----
+from fundlake.functions import (  # noqa: E402
+    initcap_words, parse_any_date as _parse_any_date, try_number as _try_number,
+)
+from fundlake.plans import dashboard, profiling, silver as _silver, star as _star  # noqa: E402
+from fundlake.plans import usage as _usage  # noqa: E402
+from fundlake.operators import governance as _gov  # noqa: E402
+from fundlake.operators import quota as _quota  # noqa: E402
+from fundlake.sources import landing as _landing, snapshots as _snap  # noqa: E402
+from fundlake.sources import testdata as _td  # noqa: E402
+from fundlake.session import shared_dir  # noqa: E402
+
+
+@register("null_tokens")
+def null_tokens(spark, sf_dir):
+    return _landing.null_tokens(_td.raw_enrollments(spark, sf_dir))
+
+
+@register("parse_any_date")
+def parse_any_date(spark, sf_dir):
+    raw = _td.raw_tables(spark, sf_dir)["applications"]
+    return raw.select("application_id", F.col("submission_date").alias("submission_text"),
+                      _parse_any_date("submission_date").alias("submission_date"))
+
+
+@register("try_number")
+def try_number(spark, sf_dir):
+    raw = _td.raw_tables(spark, sf_dir)["applications"]
+    return parity(raw.select("application_id", F.col("amount_requested").alias("amount_text"),
+                             _try_number("amount_requested").alias("amount_requested")))
+
+
+@register("initcap_status")
+def initcap_status(spark, sf_dir):
+    raw = _td.raw_tables(spark, sf_dir)["applications"]
+    return raw.select("application_id", F.col("status").alias("status_text"),
+                      initcap_words("status").alias("status"))
+
+
+@register("money_text")
+def money_text(spark, sf_dir):
+    return parity(_layers(spark, sf_dir).silver["funding_decisions"])
+
+
+@register("normalise_id")
+def normalise_id(spark, sf_dir):
+    return parity(_layers(spark, sf_dir).silver["enrollments"])
+
+
+@register("flag_missing")
+def flag_missing(spark, sf_dir):
+    enr = _layers(spark, sf_dir).silver["enrollments"]
+    return (enr.groupBy("headcount_missing_flag",
+                        F.col("headcount").isNull().alias("headcount_is_null"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("dedupe_first")
+def dedupe_first(spark, sf_dir):
+    return _silver.deduped_applications(_td.raw_tables(spark, sf_dir)["applications"])
+
+
+@register("conform_name")
+def conform_name(spark, sf_dir):
+    return parity(_layers(spark, sf_dir).silver["applications"])
+
+
+@register("flag_orphans")
+def flag_orphans(spark, sf_dir):
+    return parity(_layers(spark, sf_dir).silver["disbursements"])
+
+
+@register("quality_report")
+def quality_report(spark, sf_dir):
+    lay = _layers(spark, sf_dir)
+    return parity(_silver.quality_report(lay.raw, lay.silver))
+
+
+@register("load_counts")
+def load_counts(spark, sf_dir):
+    return _landing.count_rows_by_table(_td.raw_tables(spark, sf_dir))
+
+
+@register("name_variants")
+def name_variants(spark, sf_dir):
+    raw = _td.raw_tables(spark, sf_dir)["applications"]
+    return profiling.name_variants(raw, "%nation_1%")
+
+
+# ----------------------------------------------------------------- star ----
+def _star_table(name):
+    def run(spark, sf_dir):
+        return parity(_layers(spark, sf_dir).star[name])
+    run.__name__ = name
+    return run
+
+
+for _name in ("dim_institution", "dim_program", "dim_date", "fact_applications",
+              "fact_disbursements", "fact_enrollments"):
+    register(_name)(_star_table(_name))
+
+
+@register("star_counts")
+def star_counts(spark, sf_dir):
+    return _star.star_counts(_layers(spark, sf_dir).star)
+
+
+# ------------------------------------------------------------ dashboard ----
+def _views(spark, sf_dir):
+    return reports.views(_layers(spark, sf_dir).tables())
+
+
+@register("kpi_headline")
+def kpi_headline(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    return dashboard.headline(spark, v["v_funding_equity"], v["v_disbursement_lag"],
+                              v["v_program_efficiency"])
+
+
+@register("fiscal_years")
+def fiscal_years(spark, sf_dir):
+    return dashboard.fiscal_years(_views(spark, sf_dir)["v_funding_equity"])
+
+
+@register("top15_equity")
+def top15_equity(spark, sf_dir):
+    return parity(dashboard.top_equity(_views(spark, sf_dir)["v_funding_equity"]))
+
+
+@register("top15_lag")
+def top15_lag(spark, sf_dir):
+    return parity(dashboard.top_lag(_views(spark, sf_dir)["v_disbursement_lag"]))
+
+
+@register("program_table")
+def program_table(spark, sf_dir):
+    return parity(dashboard.program_table(_views(spark, sf_dir)["v_program_efficiency"]))
+
+
+# ----------------------------------------------------------- governance ----
+def _secured(spark, sf_dir, role):
+    lay = _layers(spark, sf_dir)
+    reg = pipeline.registry_for(spark, lay)
+    return reg.secured_tables(lay.tables(), role), reg, lay
+
+
+@register("row_policy_restricted")
+def row_policy_restricted(spark, sf_dir):
+    t, _, _ = _secured(spark, sf_dir, pipeline.RESTRICTED_ROLE)
+    return parity(t["fact_applications"])
+
+
+@register("row_policy_privileged")
+def row_policy_privileged(spark, sf_dir):
+    lay = _layers(spark, sf_dir)
+    reg = pipeline.registry_for(spark, lay)
+    roles = ("ANALYST", "AUDITOR", pipeline.RESTRICTED_ROLE, "UNKNOWN_ROLE")
+    return _gov.rows_visible(reg, "fact_applications", lay.star["fact_applications"], roles)
+
+
+@register("mask_small_cells")
+def mask_small_cells(spark, sf_dir):
+    t, _, _ = _secured(spark, sf_dir, pipeline.RESTRICTED_ROLE)
+    return parity(t["fact_enrollments"])
+
+
+@register("equity_as_restricted")
+def equity_as_restricted(spark, sf_dir):
+    t, _, _ = _secured(spark, sf_dir, pipeline.RESTRICTED_ROLE)
+    return parity(reports.funding_equity(t))
+
+
+@register("audit_search")
+def audit_search(spark, sf_dir):
+    return _gov.audit(_td.query_history(spark, sf_dir), "%FACT_PURCHASES%", 20)
+
+
+# ---------------------------------------------------------------- usage ----
+USD_PER_CREDIT = 3.0
+BUDGET_LIMIT = 50.0
+
+
+@register("credits_by_warehouse")
+def credits_by_warehouse(spark, sf_dir):
+    return parity(_usage.credits_by_warehouse(_td.metering_history(spark, sf_dir),
+                                              _td.clock(spark, sf_dir), 7, USD_PER_CREDIT))
+
+
+@register("daily_credits")
+def daily_credits(spark, sf_dir):
+    return parity(_usage.daily_credits(_td.metering_history(spark, sf_dir),
+                                       _td.clock(spark, sf_dir), 14))
+
+
+@register("slowest_queries")
+def slowest_queries(spark, sf_dir):
+    return _usage.slowest_queries(_td.query_history(spark, sf_dir), _td.clock(spark, sf_dir))
+
+
+@register("storage_by_schema")
+def storage_by_schema(spark, sf_dir):
+    return _usage.storage_by_schema(_td.storage_metrics(spark, sf_dir))
+
+
+@register("quota_status")
+def quota_status(spark, sf_dir):
+    return parity(_quota.quota_status(_td.metering_history(spark, sf_dir),
+                                      _quota.monitors_frame(spark), _quota.triggers_frame(spark)))
+
+
+@register("budget_status")
+def budget_status(spark, sf_dir):
+    return parity(_quota.budget_status(_td.metering_history(spark, sf_dir), BUDGET_LIMIT))
+
+
+# -------------------------------------------------------------- landing ----
+@register("landing_roundtrip")
+def landing_roundtrip(spark, sf_dir):
+    """Write the decisions extract as gzip CSV (quoted money with commas,
+    header), then land it back through the tolerant reader."""
+    path = shared_dir(spark, "landing-decisions")
+    raw = _td.raw_funding_decisions(spark, sf_dir)
+    _landing.write_landing_csv(raw, path)
+    return _landing.read_landing(spark, path, _landing.LANDING_SCHEMAS["funding_decisions"])
+
+
+def _ragged_enrollment_lines(spark, sf_dir) -> DataFrame:
+    """Enrollment extract as text lines: every 23rd line lost its last
+    field, every 19th has an extra one, every 37th has no id."""
+    e = _td.raw_enrollments(spark, sf_dir, keep_line_key=True)
+    k = F.col("_k")
+    first4 = F.concat_ws(",", F.when(k % 37 == 0, F.lit("")).otherwise(F.col("enrollment_id")),
+                         *[F.coalesce(F.col(c), F.lit("")) for c in
+                           ("institution_id", "program_code", "fiscal_year")])
+    head = F.coalesce(F.col("headcount"), F.lit(""))
+    line = (F.when(k % 23 == 0, first4)
+            .when(k % 19 == 0, F.concat_ws(",", first4, head, F.lit("extra")))
+            .otherwise(F.concat_ws(",", first4, head)))
+    return e.select(line.alias("value"))
+
+
+@register("split_rejects")
+def split_rejects(spark, sf_dir):
+    path = shared_dir(spark, "landing-enrollments")
+    _ragged_enrollment_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    landed = _landing.read_landing(spark, path, _landing.LANDING_SCHEMAS["enrollments"],
+                                   keep_raw_line=True, header=False)
+    good, _rejects = _landing.split_rejects(landed, "enrollment_id")
+    return _landing.with_ragged_flag(good)
+
+
+@register("file_listing")
+def file_listing(spark, sf_dir):
+    path = shared_dir(spark, "landing-listing")
+    _landing.write_landing_csv(_td.raw_funding_decisions(spark, sf_dir), path)
+    return _landing.list_files(spark, path).select("file_name", "file_size")
+
+
+# ------------------------------------------------------------ snapshots ----
+SNAP_T1, SNAP_T2, SNAP_READ = "2024-01-01 00:00:00", "2024-01-01 01:00:00", "2024-01-01 00:30:00"
+
+
+@register("as_of_snapshot")
+def as_of_snapshot(spark, sf_dir):
+    """Two refreshes of fact_applications an hour apart (the second one
+    after every pending application was approved); reading half-way
+    returns the first."""
+    fa = _layers(spark, sf_dir).star["fact_applications"]
+    path = shared_dir(spark, "snap-fact-applications")
+    _snap.write_snapshot(fa, path, SNAP_T1)
+    later = fa.withColumn("status", F.when(F.col("status") == "Pending", F.lit("Approved"))
+                          .otherwise(F.col("status")))
+    _snap.write_snapshot(later, path, SNAP_T2)
+    return parity(_snap.as_of(spark, path, SNAP_READ))

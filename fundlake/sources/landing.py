@@ -64,7 +64,8 @@ def null_tokens(df: DataFrame, cols=None, tokens=NULL_TOKENS) -> DataFrame:
 
 
 def read_landing(spark: SparkSession, path, schema: T.StructType,
-                 keep_raw_line: bool = False, min_partitions: int | None = None) -> DataFrame:
+                 keep_raw_line: bool = False, min_partitions: int | None = None,
+                 header: bool = True) -> DataFrame:
     """Scan CSV file(s) at ``path`` (gzip chosen by suffix) with ``schema``.
 
     * header line skipped, ``"`` quoting with doubled-quote escapes;
@@ -81,7 +82,7 @@ def read_landing(spark: SparkSession, path, schema: T.StructType,
     if keep_raw_line:
         fields.append(T.StructField(CORRUPT_COL, T.StringType(), True))
     reader = (spark.read.schema(T.StructType(fields))
-              .option("header", True)
+              .option("header", header)
               .option("quote", '"')
               .option("escape", '"')
               .option("ignoreLeadingWhiteSpace", True)

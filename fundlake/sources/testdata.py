@@ -133,7 +133,7 @@ def _site(suppkey: Column) -> Column:
     return suppkey % N_INSTITUTIONS
 
 
-def raw_enrollments(spark, sf_dir, with_tokens: bool = True) -> DataFrame:
+def raw_enrollments(spark, sf_dir, keep_line_key: bool = False) -> DataFrame:
     """One enrollment record per line; headcount text carries null tokens
     ('' / NULL / null, landed as NULL) and the odd unparsable value."""
     li = table(spark, sf_dir, "lineitem")
@@ -141,14 +141,15 @@ def raw_enrollments(spark, sf_dir, with_tokens: bool = True) -> DataFrame:
     site = _site(F.col("l_suppkey"))
     token = F.element_at(F.array(F.lit(""), F.lit("NULL"), F.lit("null")),
                          (k % 3 + 1).cast("int"))
-    return li.select(
+    extra = [k.alias("_k")] if keep_line_key else []
+    return li.select(*extra,
         F.concat(F.lit("ENR-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("enrollment_id"),
         F.when(k % 2 == 0, _inst_id(site, "I-")).otherwise(_inst_id(site)).alias("institution_id"),
         F.element_at(F.array(*[F.lit(p) for p in PROGRAM_CODES]),
                      (F.col("l_partkey") % 5 + 1).cast("int")).alias("program_code"),
         fiscal_year_of("l_shipdate").alias("fiscal_year"),
-        F.when(k % 7 == 0, token if with_tokens else F.lit(None).cast("string"))
+        F.when(k % 7 == 0, token)
          .when(k % 29 == 0, F.lit("n/a"))
          .otherwise(F.col("l_quantity").cast("int").cast("string")).alias("headcount"),
     )
