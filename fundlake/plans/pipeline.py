@@ -85,3 +85,106 @@ def materialize(spark: SparkSession, layers: Layers, database: str | None = None
 
 def restricted_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows_visible"))
+
+
+# --------------------------------------------------------------------------
+# Written layers: each layer is computed from the *written* layer below it,
+# exactly like a create-or-replace-table-as-select ELT, and read back from
+# the shared folder.  Reports then start from parquet scans (lineage cut,
+# real file sizes for the planner, nothing recomputed per report).
+# --------------------------------------------------------------------------
+
+_WRITTEN: dict = {}
+
+
+def _write_read(spark: SparkSession, df: DataFrame, path: str,
+                bucket: tuple | None = None, table: str | None = None) -> DataFrame:
+    if bucket and table:
+        n, col = bucket
+        (df.write.mode("overwrite").format("parquet").option("path", path)
+           .bucketBy(n, col).sortBy(col).saveAsTable(table))
+        return spark.table(table)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+class Written:
+    """RAW, SILVER and STAR for one input folder, written once per session.
+
+    ``raw``/``silver``/``star`` are dicts of DataFrames that scan the
+    written tables.  ``silver_stage()``/``star_stage()`` rebuild one layer
+    lazily from the written tables it depends on (what one ELT step
+    computes), so a stage query measures exactly that step.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str,
+                 bucket_facts: int | None = None):
+        self.spark, self.sf_dir, self.root = spark, sf_dir, root
+        self.bucket_facts = bucket_facts
+        self.bounds = {"dim_institution": testdata.N_INSTITUTIONS,
+                       "dim_program": len(testdata.PROGRAM_CODES)}
+        self.raw, self.silver, self.star = {}, {}, {}
+        for name, df in testdata.raw_tables(spark, sf_dir).items():
+            self.raw[name] = self._write("raw", name, df)
+        for name, make in self._silver_steps().items():
+            self.silver[name] = self._write("silver", name, make())
+        for name, make in self._star_steps().items():
+            self.star[name] = self._write("star", name, make())
+
+    def _write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        bucket = table = None
+        if self.bucket_facts and name in ("fact_applications", "fact_disbursements"):
+            tag = abs(hash(self.root)) % 10**8
+            bucket, table = (self.bucket_facts, "application_id"), f"fl{tag}_{name}"
+        return _write_read(self.spark, df, f"{self.root}/{layer}/{name}", bucket, table)
+
+    def _silver_steps(self) -> dict:
+        from fundlake.plans import silver as sv
+        raw, done, m = self.raw, self.silver, testdata.N_INSTITUTIONS
+        return {
+            "institutions": lambda: sv.silver_institutions(raw["institutions"]),
+            "applications": lambda: sv.silver_applications(raw["applications"],
+                                                           done["institutions"], m),
+            "enrollments": lambda: sv.silver_enrollments(raw["enrollments"]),
+            "funding_decisions": lambda: sv.silver_funding_decisions(raw["funding_decisions"]),
+            "disbursements": lambda: sv.silver_disbursements(raw["disbursements"],
+                                                             done["applications"]),
+        }
+
+    def _star_steps(self) -> dict:
+        from fundlake.plans import star as st
+        s, done, b = self.silver, self.star, self.bounds
+        return {
+            "dim_institution": lambda: st.dim_institution(s["institutions"]),
+            "dim_program": lambda: st.dim_program(s["applications"]),
+            "dim_funding_type": lambda: st.dim_funding_type(self.spark),
+            "dim_date": lambda: st.dim_date(s["applications"]),
+            "fact_applications": lambda: st.fact_applications(s["applications"], done, b),
+            "fact_disbursements": lambda: st.fact_disbursements(s["disbursements"], done, b),
+            "fact_enrollments": lambda: st.fact_enrollments(s["enrollments"], done, b),
+        }
+
+    def silver_stage(self, name: str) -> DataFrame:
+        """One silver table recomputed from the written tables below it."""
+        return self._silver_steps()[name]()
+
+    def star_stage(self, name: str) -> DataFrame:
+        return self._star_steps()[name]()
+
+    def layers(self) -> Layers:
+        return Layers(self.raw, self.silver, self.star)
+
+
+def written(spark: SparkSession, sf_dir: str, bucket_facts: int | None = None) -> Written:
+    """The written layers for ``sf_dir`` in this session (built on first use)."""
+    from fundlake.session import shared_dir
+    key = (spark.sparkContext.applicationId, sf_dir, bucket_facts)
+    w = _WRITTEN.get(key)
+    if w is None:
+        w = Written(spark, sf_dir, shared_dir(spark, "layers"), bucket_facts)
+        _WRITTEN[key] = w
+    return w
+
+
+def forget_written() -> None:
+    _WRITTEN.clear()

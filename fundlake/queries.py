@@ -33,8 +33,13 @@ def parity(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def _w(spark, sf_dir) -> "pipeline.Written":
+    """RAW/SILVER/STAR written once per session for ``sf_dir``."""
+    return pipeline.written(spark, sf_dir)
+
+
 def _layers(spark, sf_dir):
-    return pipeline.from_driver_tables(spark, sf_dir)
+    return _w(spark, sf_dir).layers()
 
 
 @register("funding_equity")
@@ -77,38 +82,38 @@ def null_tokens(spark, sf_dir):
 
 @register("parse_any_date")
 def parse_any_date(spark, sf_dir):
-    raw = _td.raw_tables(spark, sf_dir)["applications"]
+    raw = _w(spark, sf_dir).raw["applications"]
     return raw.select("application_id", F.col("submission_date").alias("submission_text"),
                       _parse_any_date("submission_date").alias("submission_date"))
 
 
 @register("try_number")
 def try_number(spark, sf_dir):
-    raw = _td.raw_tables(spark, sf_dir)["applications"]
+    raw = _w(spark, sf_dir).raw["applications"]
     return parity(raw.select("application_id", F.col("amount_requested").alias("amount_text"),
                              _try_number("amount_requested").alias("amount_requested")))
 
 
 @register("initcap_status")
 def initcap_status(spark, sf_dir):
-    raw = _td.raw_tables(spark, sf_dir)["applications"]
+    raw = _w(spark, sf_dir).raw["applications"]
     return raw.select("application_id", F.col("status").alias("status_text"),
                       initcap_words("status").alias("status"))
 
 
 @register("money_text")
 def money_text(spark, sf_dir):
-    return parity(_layers(spark, sf_dir).silver["funding_decisions"])
+    return parity(_w(spark, sf_dir).silver_stage("funding_decisions"))
 
 
 @register("normalise_id")
 def normalise_id(spark, sf_dir):
-    return parity(_layers(spark, sf_dir).silver["enrollments"])
+    return parity(_w(spark, sf_dir).silver_stage("enrollments"))
 
 
 @register("flag_missing")
 def flag_missing(spark, sf_dir):
-    enr = _layers(spark, sf_dir).silver["enrollments"]
+    enr = _w(spark, sf_dir).silver_stage("enrollments")
     return (enr.groupBy("headcount_missing_flag",
                         F.col("headcount").isNull().alias("headcount_is_null"))
             .agg(F.count(F.lit(1)).alias("n")))
@@ -116,17 +121,17 @@ def flag_missing(spark, sf_dir):
 
 @register("dedupe_first")
 def dedupe_first(spark, sf_dir):
-    return _silver.deduped_applications(_td.raw_tables(spark, sf_dir)["applications"])
+    return _silver.deduped_applications(_w(spark, sf_dir).raw["applications"])
 
 
 @register("conform_name")
 def conform_name(spark, sf_dir):
-    return parity(_layers(spark, sf_dir).silver["applications"])
+    return parity(_w(spark, sf_dir).silver_stage("applications"))
 
 
 @register("flag_orphans")
 def flag_orphans(spark, sf_dir):
-    return parity(_layers(spark, sf_dir).silver["disbursements"])
+    return parity(_w(spark, sf_dir).silver_stage("disbursements"))
 
 
 @register("quality_report")
@@ -137,19 +142,19 @@ def quality_report(spark, sf_dir):
 
 @register("load_counts")
 def load_counts(spark, sf_dir):
-    return _landing.count_rows_by_table(_td.raw_tables(spark, sf_dir))
+    return _landing.count_rows_by_table(_w(spark, sf_dir).raw)
 
 
 @register("name_variants")
 def name_variants(spark, sf_dir):
-    raw = _td.raw_tables(spark, sf_dir)["applications"]
+    raw = _w(spark, sf_dir).raw["applications"]
     return profiling.name_variants(raw, "%nation_1%")
 
 
 # ----------------------------------------------------------------- star ----
 def _star_table(name):
     def run(spark, sf_dir):
-        return parity(_layers(spark, sf_dir).star[name])
+        return parity(_w(spark, sf_dir).star_stage(name))
     run.__name__ = name
     return run
 
