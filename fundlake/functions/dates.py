@@ -18,14 +18,32 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _separators(fmt: str) -> str:
+    """Literal characters every text accepted by ``fmt`` must contain."""
+    return "".join(dict.fromkeys(ch for ch in fmt if not ch.isalpha() and ch != "'"))
+
+
 def parse_any_date(col, formats=ANY_DATE_FORMATS) -> Column:
     """First successful strict parse among ``formats``; NULL when none fits.
 
     ``try_to_date`` never raises under ANSI mode, so bad text ("soon",
-    31/02/2023) simply falls through to NULL.
+    31/02/2023) simply falls through to NULL.  A failed parse is costly
+    inside the JVM (an exception per attempt), so each attempt is guarded
+    by a test that the text contains the format's literal separators - a
+    necessary condition, so results are unchanged while an ISO date is
+    never tried against the slash layouts and vice versa.
     """
     c = _c(col)
-    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in formats])
+    attempts = []
+    for fmt in formats:
+        seps = _separators(fmt)
+        guard = None
+        for ch in seps:
+            g = c.contains(ch)
+            guard = g if guard is None else guard & g
+        parsed = F.try_to_date(c, fmt)
+        attempts.append(parsed if guard is None else F.when(guard, parsed))
+    return F.coalesce(*attempts)
 
 
 def date_text(col, selector, formats=ANY_DATE_FORMATS) -> Column:
