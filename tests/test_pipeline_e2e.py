@@ -1,0 +1,190 @@
+"""End to end over small CSV extracts that plant every defect of the
+fixture catalogue: CSV landing -> SILVER -> STAR -> reports, dashboard
+figures and governed reads."""
+
+import datetime as dt
+import gzip
+from decimal import Decimal
+
+import pytest
+
+from fundlake.operators.governance import standard_registry
+from fundlake.plans import dashboard, pipeline, reports, silver
+from fundlake.sources.landing import (
+    LANDING_SCHEMAS, count_rows_by_table, list_files, read_landing, split_rejects,
+    with_ragged_flag,
+)
+
+FILES = {
+    "institutions": """institution_id,institution_name,institution_type,region,size_category
+INST-001, North Plains College ,College,North,Medium
+INST-002,South Valley University,University,South,Large
+INST-003,East Ridge Polytechnic,Polytechnic,East,Small
+""",
+    "applications": """application_id,institution_id,institution_name,program_code,program_name,funding_type_code,fiscal_year,amount_requested,submission_date,status
+APP-1,INST-001,North Plaines Coll,PRG-A,Nursing,FT-OPS,2023,100000,2023-05-01,APPROVED
+APP-1,INST-001,north plains,PRG-A,Nursing,FT-OPS,2023,999,Jan 15 2023,approved
+APP-2,INST-002,S. Valley,PRG-A,Nursing,FT-CAP,2023,"$1,250,000",15/01/2023,Approved
+APP-3,INST-002,South Valley U,PRG-B,Welding,FT-RES,2023,50000,01/15/2023,approved
+APP-4,INST-999,Mystery,PRG-B,Welding,FT-INN,2023,7000,03/04/2023,Pending
+APP-5,INST-003,East Ridge,PRG-B,Welding,FT-ACC,2024,80000,31/02/2023,APPROVED
+APP-6,INST-001,North Plains,PRG-A,Nursing,FT-OPS,2024,20000,soon,Approved
+APP-7,INST-002,South,PRG-A,Nursing,FT-OPS,2024,30000,2024-04-10,Approved
+APP-8,INST-003,East,PRG-B,Welding,FT-OPS,2023,60000,2023-06-01,Approved
+""",
+    "enrollments": """enrollment_id,institution_id,program_code,fiscal_year,headcount
+E1,INST-001,PRG-A,2023,100
+E2,I-002,PRG-A,2023,9
+E3,I-002,PRG-B,2023,10
+E4,INST-001,PRG-A,2024,
+E5,INST-003,PRG-B,2024,abc
+E6,INST-001,PRG-A,2030,40
+E7,INST-002,PRG-A,2024,NULL
+E8,INST-003,PRG-B,2023,0
+E9,INST-002,PRG-B,2024,20
+E10,INST-001,PRG-A,2024,80
+""",
+    "funding_decisions": """decision_id,application_id,institution_id,funding_type_code,fiscal_year,approved_amount,decision_date,decision
+D1,APP-1,INST-001,FT-OPS,2023,"$1,250,000",2023-06-01,approved
+D2,APP-2,INST-002,FT-CAP,2023,5000,Jun 01 2023,DECLINED
+""",
+    "disbursements": """disbursement_id,application_id,institution_id,fiscal_year,disbursed_amount,disbursement_date
+P1,APP-1,INST-001,2023,50000,2023-06-01
+P2,APP-3,INST-002,2023,25000,2023-01-10
+P3,APP-X,INST-002,2023,100,2023-02-01
+P4,,INST-001,2023,100,2023-02-01
+P5,APP-6,INST-001,2024,1000,2024-05-01
+P6,APP-1,INST-001,2023,10,2023-07-01,extra
+P7,APP-7,INST-002,2024
+""",
+}
+
+
+@pytest.fixture(scope="module")
+def landed(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("extracts")
+    raw = {}
+    for name, text in FILES.items():
+        p = root / name
+        p.mkdir()
+        with gzip.open(p / f"{name}.csv.gz", "wt") as fh:
+            fh.write(text)
+        raw[name] = read_landing(spark, str(p), LANDING_SCHEMAS[name])
+    return root, raw
+
+
+@pytest.fixture(scope="module")
+def layers(spark, landed):
+    return pipeline.from_raw(spark, landed[1])
+
+
+def test_landing_counts_and_files(spark, landed):
+    root, raw = landed
+    counts = {r.tbl: r.row_count for r in count_rows_by_table(raw).collect()}
+    assert counts == {"institutions": 3, "applications": 9, "enrollments": 10,
+                      "funding_decisions": 2, "disbursements": 7}
+    files = list_files(spark, str(root / "applications")).collect()
+    assert [f.file_name for f in files] == ["applications.csv.gz"] and files[0].file_size > 0
+
+
+def test_ragged_rows_and_rejects(spark, landed):
+    root, _ = landed
+    df = read_landing(spark, str(root / "disbursements"), LANDING_SCHEMAS["disbursements"],
+                      keep_raw_line=True)
+    good, rejects = split_rejects(df, "disbursement_id")
+    rows = {r.disbursement_id: r for r in with_ragged_flag(good).collect()}
+    assert rows["P6"].ragged and rows["P6"].disbursement_date == "2023-07-01"
+    assert rows["P7"].ragged and rows["P7"].disbursed_amount is None
+    assert not rows["P1"].ragged and rows["P4"].application_id is None
+    assert rejects.count() == 0 and len(rows) == 7
+
+
+def test_silver_cleansing(layers):
+    apps = {r.application_id: r for r in layers.silver["applications"].collect()}
+    assert len(apps) == 8
+    a1 = apps["APP-1"]
+    assert (a1.amount_requested, a1.submission_date, a1.institution_name, a1.status) == (
+        Decimal(100000), dt.date(2023, 5, 1), "North Plains College", "Approved")
+    assert apps["APP-2"].amount_requested is None
+    assert apps["APP-3"].submission_date == dt.date(2023, 1, 15)
+    assert apps["APP-4"].institution_name is None and apps["APP-4"].submission_date == dt.date(2023, 4, 3)
+    assert apps["APP-5"].submission_date is None and apps["APP-6"].submission_date is None
+    enr = {r.enrollment_id: r for r in layers.silver["enrollments"].collect()}
+    assert enr["E2"].institution_id == "INST-002"
+    assert (enr["E4"].headcount, enr["E4"].headcount_missing_flag) == (None, True)
+    assert (enr["E5"].headcount, enr["E5"].headcount_missing_flag) == (None, False)
+    dec = {r.decision_id: r for r in layers.silver["funding_decisions"].collect()}
+    assert dec["D1"].approved_amount == Decimal(1250000) and dec["D2"].decision == "Declined"
+    assert dec["D2"].decision_date == dt.date(2023, 6, 1)
+    dsb = {r.disbursement_id: r.orphan_flag for r in layers.silver["disbursements"].collect()}
+    assert dsb == {"P1": False, "P2": False, "P3": True, "P4": True, "P5": False,
+                   "P6": False, "P7": False}
+
+
+def test_quality_report(layers):
+    rows = silver.quality_report(layers.raw, layers.silver).orderBy("ordinal").collect()
+    assert [r.value for r in rows] == ["8", "9", "2", "2", "2"]
+
+
+def test_star(spark, layers):
+    s = layers.star
+    keys = {r.institution_id: r.institution_key for r in s["dim_institution"].collect()}
+    assert keys == {"INST-001": 1, "INST-002": 2, "INST-003": 3}
+    assert {r.fiscal_year: r.date_key for r in s["dim_date"].collect()} == {"2023": 1, "2024": 2}
+    d = s["dim_date"].where("fiscal_year = '2023'").first()
+    assert (d.fiscal_year_label, d.fiscal_year_start, d.fiscal_year_end) == (
+        "FY2023", dt.date(2023, 4, 1), dt.date(2024, 3, 31))
+    assert s["dim_funding_type"].count() == 5
+    fa = {r.application_id: r for r in s["fact_applications"].collect()}
+    assert fa["APP-4"].institution_key is None and fa["APP-1"].funding_type_key == 1
+    fe = {r.enrollment_id: r for r in s["fact_enrollments"].collect()}
+    assert fe["E6"].date_key is None
+    for silver_name, fact in (("applications", "fact_applications"),
+                              ("disbursements", "fact_disbursements"),
+                              ("enrollments", "fact_enrollments")):
+        assert layers.silver[silver_name].count() == s[fact].count()
+
+
+def test_reports(spark, layers):
+    t = layers.tables()
+    eq = {(r.institution_name, r.fiscal_year): r.funding_per_student
+          for r in reports.funding_equity(t).collect()}
+    assert eq == {("North Plains College", "2023"): 1000, ("South Valley University", "2023"): 2632,
+                  ("North Plains College", "2024"): 250, ("South Valley University", "2024"): 1500,
+                  ("East Ridge Polytechnic", "2023"): None}
+    lag_all = {(r.institution_name, r.fiscal_year): (r.payments, r.avg_days_to_pay,
+                                                      r.total_disbursed)
+               for r in reports.disbursement_lag(t, valid_only=False).collect()}
+    assert lag_all == {("North Plains College", "2023"): (2, 46.0, Decimal(50010)),
+                       ("South Valley University", "2023"): (1, -5.0, Decimal(25000)),
+                       ("North Plains College", "2024"): (1, None, Decimal(1000)),
+                       ("South Valley University", "2024"): (1, None, None)}
+    lag_view = [tuple(r) for r in reports.disbursement_lag(t, valid_only=True).collect()]
+    assert lag_view == [("North Plains College", "2023", 2, 46.0, Decimal(50010))]
+    prog = {r.program_name: r for r in reports.program_efficiency(t).collect()}
+    assert prog["Nursing"].enrollment_change == -29 and prog["Nursing"].flag.startswith("Review")
+    assert prog["Welding"].flag == "Stable / growing"
+    assert prog["Nursing"].approved_funding == 150000 and prog["Welding"].approved_funding == 190000
+    v = reports.views(t)
+    k = dashboard.headline(spark, v["v_funding_equity"], v["v_disbursement_lag"],
+                           v["v_program_efficiency"]).first()
+    assert (k.institutions_funded, k.avg_days_to_pay, k.programs_to_review) == (3, 46.0, 1)
+    none = dashboard.headline(spark, v["v_funding_equity"], v["v_disbursement_lag"],
+                              v["v_program_efficiency"], years=["1999"]).first()
+    assert none.avg_days_to_pay is None and none.institutions_funded == 0
+    years = [r.fiscal_year for r in dashboard.fiscal_years(v["v_funding_equity"]).collect()]
+    assert years == ["2023", "2024"]
+    top = dashboard.top_equity(v["v_funding_equity"], n=2).collect()
+    assert [r.funding_per_student for r in top] == [2632, 1500]
+
+
+def test_governed_reports(spark, layers):
+    ent = pipeline.entitlements(spark)
+    reg = standard_registry(ent, layers.star["dim_institution"], dim_rows=3)
+    t = reg.secured_tables(layers.tables(), pipeline.RESTRICTED_ROLE)
+    eq = {r.fiscal_year: (r.approved_funding, r.enrolled_students, r.funding_per_student)
+          for r in reports.funding_equity(t).collect()}
+    assert eq == {"2023": (Decimal(50000), Decimal(10), 5000), "2024": (Decimal(30000), Decimal(20), 1500)}
+    assert t["fact_applications"].count() == 3
+    full = reg.secured_tables(layers.tables(), "AUDITOR")
+    assert full["fact_applications"].count() == 8
