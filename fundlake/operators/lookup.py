@@ -48,11 +48,17 @@ def flag_orphans(child: DataFrame, parent: DataFrame, key: str, flag: str,
     Rows are never dropped and never multiplied: the parent side is reduced
     to its distinct keys first (a partial+final aggregate, so even a hot
     key costs one row per partition), then LEFT-joined.
+
+    Child rows with a NULL key can never match, but would all hash to the
+    same shuffle partition; their join key is replaced by a per-row salt
+    (guarded so it can never match), which spreads them evenly.
     """
     pk = parent_key or key
     keys = parent.select(F.col(pk).alias("_pkey")).where(F.col("_pkey").isNotNull()).distinct()
-    joined = child.join(keys, child[key] == F.col("_pkey"), "left")
-    return joined.select(*[child[c] for c in child.columns],
+    salt = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in child.columns]).cast("string"))
+    c = child.withColumn("_ckey", F.coalesce(F.col(key), salt))
+    joined = c.join(keys, (F.col("_ckey") == F.col("_pkey")) & F.col(key).isNotNull(), "left")
+    return joined.select(*[F.col(x) for x in child.columns],
                          F.col("_pkey").isNull().alias(flag))
 
 

@@ -1,10 +1,10 @@
 """Credit quotas: month-to-date usage against trigger levels.
 
 Exact crossing times without one giant window: usage is first summed per
-(monitor, month, hour) - at most 744 rows per monitor-month however many
-raw rows there are - and the running total is taken over those buckets.
-Only the bucket in which a trigger level is crossed is then opened up and
-walked row by row.  An account-wide monitor that covers every warehouse
+(monitor, month, minute) - at most 44,640 rows per monitor-month however
+many raw rows there are - and the running total is taken over those
+buckets.  Only the bucket in which a trigger level is crossed is then
+opened up and walked row by row.  An account-wide monitor that covers every warehouse
 (a third or more of all rows) therefore never lands in one task.
 """
 
@@ -52,7 +52,7 @@ def triggers_frame(spark, triggers=TRIGGERS) -> DataFrame:
 
 def quota_status(usage: DataFrame, monitors: DataFrame, triggers: DataFrame,
                  id_col: str = "meter_id", config_rows: int = 10_000,
-                 bucket: str = "hour") -> DataFrame:
+                 bucket: str = "minute") -> DataFrame:
     """One row per (monitor, month) with usage:
 
     used_credits, quota, pct_used, highest trigger level reached, its
@@ -75,7 +75,7 @@ def quota_status(usage: DataFrame, monitors: DataFrame, triggers: DataFrame,
                  F.date_trunc("month", F.col("start_time")).alias("month"),
                  F.date_trunc(bucket, F.col("start_time")).alias("bucket")))
 
-    # 1) bucket totals and their running sums (<= 744 buckets per group)
+    # 1) bucket totals and their running sums (<= 44,640 buckets per group)
     b = u.groupBy("monitor", "quota", "month", "bucket").agg(F.sum("credits").alias("b_credits"))
     wb = Window.partitionBy("monitor", "month").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, 0)

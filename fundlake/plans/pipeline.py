@@ -101,7 +101,9 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str,
                 bucket: tuple | None = None, table: str | None = None) -> DataFrame:
     if bucket and table:
         n, col = bucket
-        (df.write.mode("overwrite").format("parquet").option("path", path)
+        # Hash-partition on the bucket column first: each task then holds
+        # exactly one bucket and writes one file for it.
+        (df.repartition(n, col).write.mode("overwrite").format("parquet").option("path", path)
            .bucketBy(n, col).sortBy(col).saveAsTable(table))
         return spark.table(table)
     df.write.mode("overwrite").parquet(path)
@@ -175,9 +177,17 @@ class Written:
         return Layers(self.raw, self.silver, self.star)
 
 
-def written(spark: SparkSession, sf_dir: str, bucket_facts: int | None = None) -> Written:
-    """The written layers for ``sf_dir`` in this session (built on first use)."""
+def written(spark: SparkSession, sf_dir: str, bucket_facts: int | None | bool = True) -> Written:
+    """The written layers for ``sf_dir`` in this session (built on first use).
+
+    ``bucket_facts=True`` (default) buckets fact_applications and
+    fact_disbursements on application_id into as many buckets as the
+    session's ``spark.sql.shuffle.partitions``: every lag report then joins
+    the two facts without shuffling either.  ``None`` writes plain files.
+    """
     from fundlake.session import shared_dir
+    if bucket_facts is True:
+        bucket_facts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = (spark.sparkContext.applicationId, sf_dir, bucket_facts)
     w = _WRITTEN.get(key)
     if w is None:
