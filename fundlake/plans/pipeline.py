@@ -56,37 +56,6 @@ def registry_for(spark: SparkSession, layers: Layers, ent: DataFrame | None = No
                              dim_rows=testdata.N_INSTITUTIONS)
 
 
-def materialize(spark: SparkSession, layers: Layers, database: str | None = None,
-                bucket_facts: int | None = None) -> Layers:
-    """Write SILVER and STAR as tables (full refresh) and return a Layers
-    that reads them back.  Writing cuts the lineage: reports then start
-    from parquet scans with real file statistics, so the planner broadcasts
-    a dimension only when its measured size is small.
-
-    ``bucket_facts=n`` buckets fact_applications and fact_disbursements on
-    application_id so the lag report's fact-to-fact join runs without a
-    shuffle.
-    """
-    from fundlake.sources.landing import save
-    prefix = f"{database}." if database else ""
-    if database:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
-    out = {"silver": {}, "star": {}}
-    for layer in ("silver", "star"):
-        for name, df in getattr(layers, layer).items():
-            tname = f"{prefix}{layer}_{name}"
-            bucket = None
-            if bucket_facts and name in ("fact_applications", "fact_disbursements"):
-                bucket = (bucket_facts, "application_id")
-            save(df, tname, bucket_by=bucket)
-            out[layer][name] = spark.table(tname)
-    return Layers(layers.raw, out["silver"], out["star"])
-
-
-def restricted_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows_visible"))
-
-
 # --------------------------------------------------------------------------
 # Written layers: each layer is computed from the *written* layer below it,
 # exactly like a create-or-replace-table-as-select ELT, and read back from

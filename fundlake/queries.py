@@ -320,6 +320,25 @@ def file_listing(spark, sf_dir):
     return _landing.list_files(spark, path).select("file_name", "file_size")
 
 
+@register("incremental_landing")
+def incremental_landing(spark, sf_dir):
+    """The decisions extract arrives as two drops (odd then even order
+    keys); two incremental runs - plus a third with nothing new - land
+    every row exactly once."""
+    from fundlake.streaming.incremental import land_new_files
+    inbox = shared_dir(spark, "inbox-decisions")
+    table = shared_dir(spark, "landed-decisions")
+    ckpt = shared_dir(spark, "ckpt-decisions")
+    raw = _td.raw_funding_decisions(spark, sf_dir)
+    half = F.substring_index(F.col("decision_id"), "-", -1).cast("bigint") % 2
+    schema = _landing.LANDING_SCHEMAS["funding_decisions"]
+    for part in (1, 0):
+        _landing.write_landing_csv(raw.where(half == part), f"{inbox}/drop{part}")
+        land_new_files(spark, f"{inbox}/drop*", schema, table, ckpt)
+    land_new_files(spark, f"{inbox}/drop*", schema, table, ckpt)
+    return spark.read.parquet(table)
+
+
 # ------------------------------------------------------------ snapshots ----
 SNAP_T1, SNAP_T2, SNAP_READ = "2024-01-01 00:00:00", "2024-01-01 01:00:00", "2024-01-01 00:30:00"
 
