@@ -125,3 +125,15 @@ def audit(history: DataFrame, pattern: str, n: int = 20) -> DataFrame:
     return (hits.select("query_id", "query_text", "user_name", "role_name", "start_time")
             .orderBy(F.col("start_time").desc_nulls_first(), F.col("query_id").asc())
             .limit(n))
+
+
+def register_secured_views(spark, registry: Registry, tables: dict, role: str,
+                           prefix: str = "") -> list[str]:
+    """Temp views of every table as ``role`` sees it, for SQL users: the
+    policies sit below whatever SQL is written on top."""
+    names = []
+    for name, df in registry.secured_tables(tables, role).items():
+        view = f"{prefix}{name}"
+        df.createOrReplaceTempView(view)
+        names.append(view)
+    return names

@@ -32,8 +32,7 @@ def daily_credits(metering: DataFrame, now: Column, days: int = 14) -> DataFrame
 
 
 def slowest_queries(history: DataFrame, now: Column, hours: int = 24, k: int = 10) -> DataFrame:
-    window = history.where((F.col("start_time") >= now - F.make_dt_interval(
-        F.lit(0), F.lit(hours))) & (F.col("start_time") <= now))
+    window = history_between(history, now - F.make_dt_interval(F.lit(0), F.lit(hours)), now)
     shown = window.select(
         "query_id", preview("query_text", 60).alias("query_preview"), "warehouse_name",
         F.round(F.col("total_elapsed_time") / 1000, 1).alias("seconds"),
@@ -46,3 +45,15 @@ def storage_by_schema(storage: DataFrame) -> DataFrame:
     return (storage.groupBy("table_schema")
             .agg(F.round(F.sum("active_bytes") / 1024 / 1024, 2).alias("mb_used"))
             .orderBy(F.col("mb_used").desc_nulls_first(), "table_schema"))
+
+
+def history_between(history: DataFrame, start: Column | None = None,
+                    end: Column | None = None) -> DataFrame:
+    """Query-history rows whose start_time lies in [start, end] (either
+    bound optional) - a pushed-down range filter."""
+    out = history
+    if start is not None:
+        out = out.where(F.col("start_time") >= start)
+    if end is not None:
+        out = out.where(F.col("start_time") <= end)
+    return out

@@ -151,6 +151,17 @@ def name_variants(spark, sf_dir):
     return profiling.name_variants(raw, "%nation_1%")
 
 
+@register("headcount_nulls")
+def headcount_nulls(spark, sf_dir):
+    return profiling.null_count(_w(spark, sf_dir).raw["enrollments"], "headcount")
+
+
+@register("date_samples")
+def date_samples(spark, sf_dir):
+    """A peek at ten raw submission dates (any ten: a sample, no order)."""
+    return profiling.sample(_w(spark, sf_dir).raw["applications"], "submission_date", 10)
+
+
 # ----------------------------------------------------------------- star ----
 def _star_table(name):
     def run(spark, sf_dir):

@@ -188,3 +188,10 @@ def test_governed_reports(spark, layers):
     assert t["fact_applications"].count() == 3
     full = reg.secured_tables(layers.tables(), "AUDITOR")
     assert full["fact_applications"].count() == 8
+
+
+def test_views_by_name(spark, layers):
+    reports.register_views(spark, layers.tables())
+    assert spark.table("v_funding_equity").count() == 5
+    assert spark.sql("SELECT count(*) FROM v_disbursement_lag").first()[0] == 1
+    assert spark.table("v_program_efficiency").where("flag LIKE 'Review%'").count() == 1
