@@ -95,12 +95,33 @@ class Written:
         self.bounds = {"dim_institution": testdata.N_INSTITUTIONS,
                        "dim_program": len(testdata.PROGRAM_CODES)}
         self.raw, self.silver, self.star = {}, {}, {}
-        for name, df in testdata.raw_tables(spark, sf_dir).items():
-            self.raw[name] = self._write("raw", name, df)
-        for name, make in self._silver_steps().items():
-            self.silver[name] = self._write("silver", name, make())
-        for name, make in self._star_steps().items():
-            self.star[name] = self._write("star", name, make())
+        silver_steps, star_steps = self._silver_steps(), self._star_steps()
+        # Independent writes of one wave are submitted together (Spark runs
+        # jobs from several threads concurrently); a wave starts when the
+        # tables it reads are written.
+        waves = [
+            [("raw", n, (lambda df=df: df)) for n, df in
+             testdata.raw_tables(spark, sf_dir).items()],
+            [("silver", n, silver_steps[n]) for n in
+             ("institutions", "enrollments", "funding_decisions")],
+            [("silver", "applications", silver_steps["applications"])],
+            [("silver", "disbursements", silver_steps["disbursements"])]
+            + [("star", n, star_steps[n]) for n in
+               ("dim_institution", "dim_program", "dim_funding_type", "dim_date")],
+            [("star", n, star_steps[n]) for n in
+             ("fact_applications", "fact_disbursements", "fact_enrollments")],
+        ]
+        for wave in waves:
+            self._run_wave(wave)
+
+    def _run_wave(self, wave) -> None:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=len(wave)) as pool:
+            futures = {(layer, name): pool.submit(lambda l=layer, n=name, m=make:
+                                                  self._write(l, n, m()))
+                       for layer, name, make in wave}
+        for (layer, name), fut in futures.items():
+            getattr(self, layer)[name] = fut.result()
 
     def _write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         bucket = table = None

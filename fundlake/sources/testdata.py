@@ -44,8 +44,20 @@ OTHER_WAREHOUSE = "ADHOC_WH"
 ROLE_BY_USER_MOD4 = ("ANALYST", "ENGINEER", "AUDITOR", "INSTITUTION_USER")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Re-spread a scan that yields fewer splits than the cluster has cores
+    (one unsplittable row group or gzip file would otherwise put all the
+    work that follows on one task).  The split count is known at planning
+    time, so wide inputs pass through untouched - no extra shuffle."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if name in ("orders", "lineitem", "events", "part", "customer") else df
 
 
 def _inst_id(num: Column, prefix: str = "INST-") -> Column:
