@@ -94,13 +94,13 @@ def quota_status(usage: DataFrame, monitors: DataFrame, triggers: DataFrame,
                 .select("monitor", "month", "bucket", "cum_start", "level", "action",
                         need.alias("need")))
 
-    # 3) walk only those buckets' rows to find the exact crossing row
-    rows = u.join(crossing.select("monitor", "bucket").distinct(), ["monitor", "bucket"],
-                  "left_semi")
-    wr = Window.partitionBy("monitor", "bucket").orderBy("start_time", "_id").rowsBetween(
-        Window.unboundedPreceding, 0)
-    rows = rows.withColumn("run", F.sum("credits").over(wr))
-    hits = (rows.join(crossing, ["monitor", "month", "bucket"])
+    # 3) walk only those buckets' rows to find the exact crossing row.  The
+    #    crossings table has at most one row per (monitor, month, level),
+    #    so the join touches only the crossing buckets' rows.
+    wr = Window.partitionBy("monitor", "month", "bucket", "level").orderBy(
+        "start_time", "_id").rowsBetween(Window.unboundedPreceding, 0)
+    hits = (u.join(crossing, ["monitor", "month", "bucket"])
+            .withColumn("run", F.sum("credits").over(wr))
             .where((F.col("cum_start") + F.col("run")).cast("double") >= F.col("need"))
             .groupBy("monitor", "month", "level", "action")
             .agg(F.min_by("start_time", F.struct("start_time", "_id")).alias("crossed_at")))

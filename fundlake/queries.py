@@ -328,7 +328,7 @@ def split_rejects(spark, sf_dir):
 def file_listing(spark, sf_dir):
     path = shared_dir(spark, "landing-listing")
     _landing.write_landing_csv(_td.raw_funding_decisions(spark, sf_dir), path)
-    return _landing.list_files(spark, path).select("file_name", "file_size")
+    return _landing.list_files(spark, path, glob="*.csv.gz").select("file_name", "file_size")
 
 
 @register("incremental_landing")

@@ -111,15 +111,17 @@ def with_ragged_flag(df: DataFrame, name: str = "ragged") -> DataFrame:
     return df.withColumn(name, F.col(CORRUPT_COL).isNotNull()).drop(CORRUPT_COL)
 
 
-def list_files(spark: SparkSession, path, schema: T.StructType | None = None) -> DataFrame:
-    """One row per staged file (name, size, modification time), read from
-    the scan's file metadata, so listing scales with the file index."""
-    schema = schema or _text_schema("value")
-    df = spark.read.schema(schema).option("header", True).csv(path)
-    return (df.select(F.col("_metadata.file_name").alias("file_name"),
-                      F.col("_metadata.file_size").alias("file_size"),
-                      F.col("_metadata.file_modification_time").alias("last_modified"))
-            .distinct())
+def list_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
+    """One row per staged file (name, size, modification time).  The
+    ``binaryFile`` source lists files in a distributed way and, with the
+    content column pruned, never opens them."""
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    df = reader.load(path)
+    return df.select(F.element_at(F.split(F.col("path"), "/"), -1).alias("file_name"),
+                     F.col("length").alias("file_size"),
+                     F.col("modificationTime").alias("last_modified"))
 
 
 def write_landing_csv(df: DataFrame, path: str, compression: str = "gzip",

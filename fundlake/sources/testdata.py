@@ -49,10 +49,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     (one unsplittable row group or gzip file would otherwise put all the
     work that follows on one task).  The split count is known at planning
     time, so wide inputs pass through untouched - no extra shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
