@@ -89,7 +89,7 @@ class Written:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str,
-                 bucket_facts: int | None = None):
+                 bucket_facts: int | bool | None = True):
         self.spark, self.sf_dir, self.root = spark, sf_dir, root
         self.bucket_facts = bucket_facts
         self.bounds = {"dim_institution": testdata.N_INSTITUTIONS,
@@ -111,7 +111,9 @@ class Written:
             [("star", n, star_steps[n]) for n in
              ("fact_applications", "fact_disbursements", "fact_enrollments")],
         ]
-        for wave in waves:
+        for i, wave in enumerate(waves):
+            if i == len(waves) - 1 and self.bucket_facts is True:
+                self.bucket_facts = bucket_count(spark, f"{root}/silver/disbursements")
             self._run_wave(wave)
 
     def _run_wave(self, wave) -> None:
@@ -167,17 +169,30 @@ class Written:
         return Layers(self.raw, self.silver, self.star)
 
 
+# Aim for about this much of the larger fact per bucket.
+TARGET_BUCKET_BYTES = 256 * 1024 * 1024
+
+
+def bucket_count(spark: SparkSession, path: str, target: int = TARGET_BUCKET_BYTES) -> int:
+    """Buckets for a table of the size written at ``path``: one per
+    ``target`` bytes, at least the cluster's default parallelism.  The size
+    comes from a distributed listing (``binaryFile`` with the content column
+    pruned, so no file is opened)."""
+    total = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .load(path).agg(F.sum("length")).first()[0]) or 0
+    return max(spark.sparkContext.defaultParallelism, -(-int(total) // target))
+
+
 def written(spark: SparkSession, sf_dir: str, bucket_facts: int | None | bool = True) -> Written:
     """The written layers for ``sf_dir`` in this session (built on first use).
 
     ``bucket_facts=True`` (default) buckets fact_applications and
-    fact_disbursements on application_id into as many buckets as the
-    session's ``spark.sql.shuffle.partitions``: every lag report then joins
-    the two facts without shuffling either.  ``None`` writes plain files.
+    fact_disbursements on application_id, with the bucket count sized from
+    the written silver disbursements (``bucket_count``): every lag report
+    then joins the two facts without shuffling either.  An int fixes the
+    count; ``None`` writes plain files.
     """
     from fundlake.session import shared_dir
-    if bucket_facts is True:
-        bucket_facts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = (spark.sparkContext.applicationId, sf_dir, bucket_facts)
     w = _WRITTEN.get(key)
     if w is None:

@@ -44,7 +44,7 @@ def main():
     names = [a for a in args if not os.path.isdir(a)]
     import __spark_entry__ as E
     from fundlake.session import local_session
-    spark = local_session(8)
+    spark = local_session(8, int(os.environ.get("CHECK_SHUFFLE", "8")))
     con = duckdb.connect()
     for t in TABLES:
         p = os.path.join(sf_dir, f"{t}.parquet")
