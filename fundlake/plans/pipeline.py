@@ -89,7 +89,7 @@ class Written:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str,
-                 bucket_facts: int | bool | None = True):
+                 bucket_facts: int | bool | None = None):
         self.spark, self.sf_dir, self.root = spark, sf_dir, root
         self.bucket_facts = bucket_facts
         self.bounds = {"dim_institution": testdata.N_INSTITUTIONS,
@@ -183,14 +183,16 @@ def bucket_count(spark: SparkSession, path: str, target: int = TARGET_BUCKET_BYT
     return max(spark.sparkContext.defaultParallelism, -(-int(total) // target))
 
 
-def written(spark: SparkSession, sf_dir: str, bucket_facts: int | None | bool = True) -> Written:
+def written(spark: SparkSession, sf_dir: str, bucket_facts: int | None | bool = None) -> Written:
     """The written layers for ``sf_dir`` in this session (built on first use).
 
-    ``bucket_facts=True`` (default) buckets fact_applications and
-    fact_disbursements on application_id, with the bucket count sized from
-    the written silver disbursements (``bucket_count``): every lag report
-    then joins the two facts without shuffling either.  An int fixes the
-    count; ``None`` writes plain files.
+    ``bucket_facts=True`` buckets fact_applications and fact_disbursements on
+    application_id, with the bucket count sized from the written silver
+    disbursements (``bucket_count``): lag reports then join the two facts
+    without shuffling either.  Off by default: one application may own a
+    large share of all payments, and a bucket can neither be split by AQE
+    nor written by more than one task.  Use it where the key is known to
+    be spread; an int fixes the count.
     """
     from fundlake.session import shared_dir
     key = (spark.sparkContext.applicationId, sf_dir, bucket_facts)

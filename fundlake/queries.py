@@ -8,7 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundlake.plans import pipeline, reports
+from fundlake.functions import initcap_words
+from fundlake.functions import parse_any_date as _parse_any_date
+from fundlake.functions import try_number as _try_number
+from fundlake.operators import governance as _gov
+from fundlake.operators import quota as _quota
+from fundlake.plans import dashboard, pipeline, profiling, reports
+from fundlake.plans import silver as _silver
+from fundlake.plans import star as _star
+from fundlake.plans import usage as _usage
+from fundlake.session import shared_dir
+from fundlake.sources import landing as _landing
+from fundlake.sources import snapshots as _snap
+from fundlake.sources import testdata as _td
 
 REGISTRY: dict = {}
 
@@ -63,16 +75,6 @@ def program_efficiency(spark, sf_dir):
 
 
 # ------------------------------------------------------------ cleansing ----
-from fundlake.functions import (  # noqa: E402
-    initcap_words, parse_any_date as _parse_any_date, try_number as _try_number,
-)
-from fundlake.plans import dashboard, profiling, silver as _silver, star as _star  # noqa: E402
-from fundlake.plans import usage as _usage  # noqa: E402
-from fundlake.operators import governance as _gov  # noqa: E402
-from fundlake.operators import quota as _quota  # noqa: E402
-from fundlake.sources import landing as _landing, snapshots as _snap  # noqa: E402
-from fundlake.sources import testdata as _td  # noqa: E402
-from fundlake.session import shared_dir  # noqa: E402
 
 
 @register("null_tokens")
