@@ -25,16 +25,17 @@ def surrogate_key(df: DataFrame, order, name: str, ranged_partitions: int | None
         w = Window.orderBy(*spec)
         return df.select(F.row_number().over(w).cast("bigint").alias(name), *df.columns)
 
-    sliced = (df.repartitionByRange(ranged_partitions, *spec)
-              .withColumn("_slice", F.spark_partition_id()))
-    local = sliced.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_slice").orderBy(*spec)))
+    # Range slices, each sorted; within a slice monotonically_increasing_id
+    # counts rows in order in its low 33 bits, so local numbering needs no
+    # second shuffle.  Only the n slice sizes meet in one task.
+    sliced = (df.repartitionByRange(ranged_partitions, *spec).sortWithinPartitions(*spec)
+              .select("*", F.spark_partition_id().alias("_slice"),
+                      F.monotonically_increasing_id().alias("_mid")))
+    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1
     sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_slice",
-        (F.sum("_n").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_offset"))
-    offsets = offsets.fillna(0, subset=["_offset"])
-    out = local.join(F.broadcast(offsets), "_slice")  # n rows: bounded by n
-    return out.select((F.col("_offset") + F.col("_local")).cast("bigint").alias(name),
-                      *df.columns)
+        F.coalesce(F.sum("_n").over(Window.orderBy("_slice").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+    out = sliced.join(F.broadcast(offsets), "_slice")  # n rows: bounded by n
+    return out.select((F.col("_offset") + local).cast("bigint").alias(name), *df.columns)

@@ -177,6 +177,16 @@ for _name in ("dim_institution", "dim_program", "dim_date", "fact_applications",
     register(_name)(_star_table(_name))
 
 
+@register("application_keys")
+def application_keys(spark, sf_dir):
+    """Dense keys 1..n over every application id with the scalable
+    (range-sliced) surrogate-key form: no task holds more than one slice."""
+    from fundlake.operators.keys import surrogate_key
+    ids = _w(spark, sf_dir).silver["applications"].select("application_id")
+    n = spark.sparkContext.defaultParallelism
+    return surrogate_key(ids, "application_id", "application_key", ranged_partitions=n)
+
+
 @register("star_counts")
 def star_counts(spark, sf_dir):
     return _star.star_counts(_layers(spark, sf_dir).star)
@@ -326,6 +336,18 @@ def split_rejects(spark, sf_dir):
     return _landing.with_ragged_flag(good)
 
 
+@register("landing_rejects")
+def landing_rejects(spark, sf_dir):
+    """The rows the ragged enrollment extract could not key (no id): they
+    are accounted for, not silently lost."""
+    path = shared_dir(spark, "landing-enrollments-rejects")
+    _ragged_enrollment_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    landed = _landing.read_landing(spark, path, _landing.LANDING_SCHEMAS["enrollments"],
+                                   keep_raw_line=True, header=False)
+    _good, rejects = _landing.split_rejects(landed, "enrollment_id")
+    return _landing.with_ragged_flag(rejects)
+
+
 @register("file_listing")
 def file_listing(spark, sf_dir):
     path = shared_dir(spark, "landing-listing")
