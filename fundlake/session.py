@@ -50,3 +50,31 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
     path = os.path.join(base, f"{purpose}-{uuid.uuid4().hex[:12]}")
     return path
+
+
+# Target bytes of shuffle data per reduce task, and of input per scan task.
+SHUFFLE_BYTES_PER_TASK = 256 * 1024 * 1024
+SCAN_BYTES_PER_TASK = 512 * 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, total_cores: int) -> dict:
+    """Settings for a run over ``input_bytes`` of parquet on ``total_cores``.
+
+    * shuffle partitions: enough that one reduce task handles about
+      256 MB (spill-free on a few-GB executor core), never fewer than two
+      waves of cores; AQE then coalesces the small ones and splits skewed
+      ones.
+    * scan splits of 512 MB.
+    * broadcast only small sides (64 MB measured size), skew-join on.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // SHUFFLE_BYTES_PER_TASK))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_BYTES_PER_TASK),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(SCAN_BYTES_PER_TASK),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+    }

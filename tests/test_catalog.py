@@ -49,3 +49,10 @@ def test_secured_views_for_sql(spark):
     rows = spark.sql("SELECT enrollment_id, headcount FROM sec_fact_enrollments "
                      "ORDER BY enrollment_id").collect()
     assert [tuple(r) for r in rows] == [("e2", None), ("e3", 30.0)]
+
+
+def test_cluster_conf_sizes_partitions():
+    from fundlake.session import cluster_conf
+    c = cluster_conf(100 * 2**40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(10 * 2**20, 8)["spark.sql.shuffle.partitions"]) == 16
