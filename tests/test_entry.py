@@ -50,3 +50,10 @@ def test_query_matches_oracle(spark, con, name):
 def test_file_listing_rows(spark):
     rows = E.queries()["file_listing"](spark, SF).collect()
     assert rows and all(r.file_size > 0 for r in rows)
+
+
+def test_lazy_pipeline_equals_written(spark):
+    from fundlake.plans import pipeline, reports
+    lazy = reports.funding_equity(pipeline.from_driver_tables(spark, SF).tables())
+    written = reports.funding_equity(pipeline.written(spark, SF).layers().tables())
+    assert sorted(map(tuple, lazy.collect())) == sorted(map(tuple, written.collect()))
