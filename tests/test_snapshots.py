@@ -16,3 +16,13 @@ def test_two_snapshots_read_each(spark, tmp_path):
     assert early == {1: "Pending", 2: "Approved"}
     assert late == {1: "Approved", 2: "Approved"}
     assert as_of(spark, path, "2023-12-31 00:00:00").count() == 0
+
+
+def test_relative_offset(spark, tmp_path):
+    from fundlake.sources.snapshots import at_offset
+    path = str(tmp_path / "snap2")
+    now = dt.datetime(2024, 6, 1, 12, 0, 0)
+    write_snapshot(spark.createDataFrame([(1,)], "id int"), path, now - dt.timedelta(hours=2))
+    write_snapshot(spark.createDataFrame([(1,), (2,)], "id int"), path, now - dt.timedelta(minutes=5))
+    assert at_offset(spark, path, 3600, now=now).count() == 1
+    assert at_offset(spark, path, 60, now=now).count() == 2
