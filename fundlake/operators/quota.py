@@ -67,13 +67,14 @@ def quota_status(usage: DataFrame, monitors: DataFrame, triggers: DataFrame,
     scope = bounded(monitors.select(
         "monitor", "quota",
         F.coalesce(F.col("warehouse_name"), F.lit("*")).alias("_scope")), config_rows)
+    ts_type = usage.schema["start_time"].dataType   # truncations keep this type
     u = (usage.select(
             F.col(id_col).alias("_id"), "start_time", F.col("credits_used").alias("credits"),
             F.explode(F.array(F.col("warehouse_name"), F.lit("*"))).alias("_scope"))
          .join(scope, "_scope")
          .select("monitor", "quota", "_id", "start_time", "credits",
-                 F.date_trunc("month", F.col("start_time")).alias("month"),
-                 F.date_trunc(bucket, F.col("start_time")).alias("bucket")))
+                 F.date_trunc("month", F.col("start_time")).cast(ts_type).alias("month"),
+                 F.date_trunc(bucket, F.col("start_time")).cast(ts_type).alias("bucket")))
 
     # 1) bucket totals and their running sums (<= 44,640 buckets per group)
     b = u.groupBy("monitor", "quota", "month", "bucket").agg(F.sum("credits").alias("b_credits"))

@@ -26,7 +26,10 @@ def credits_by_warehouse(metering: DataFrame, now: Column, days: int = 7,
 
 def daily_credits(metering: DataFrame, now: Column, days: int = 14) -> DataFrame:
     recent = metering.where(F.col("start_time") >= now - F.make_dt_interval(F.lit(days)))
-    return (recent.groupBy(F.date_trunc("day", "start_time").alias("day"))
+    # date_trunc yields a session-time-zone timestamp; keep the log's own
+    # type (a wall-clock timestamp stays wall-clock).
+    day = F.date_trunc("day", "start_time").cast(metering.schema["start_time"].dataType)
+    return (recent.groupBy(day.alias("day"))
             .agg(F.round(F.sum("credits_used"), 3).alias("credits"))
             .orderBy("day"))
 
