@@ -50,10 +50,10 @@ def entitlements(spark: SparkSession, rows=ENTITLEMENTS) -> DataFrame:
     return spark.createDataFrame(list(rows), ENTITLEMENT_SCHEMA)
 
 
-def registry_for(spark: SparkSession, layers: Layers, ent: DataFrame | None = None) -> Registry:
+def registry_for(spark: SparkSession, layers: Layers, ent: DataFrame | None = None,
+                 dim_rows: int | None = testdata.N_INSTITUTIONS) -> Registry:
     return standard_registry(ent if ent is not None else entitlements(spark),
-                             layers.star["dim_institution"],
-                             dim_rows=testdata.N_INSTITUTIONS)
+                             layers.star["dim_institution"], dim_rows=dim_rows)
 
 
 # --------------------------------------------------------------------------
@@ -80,28 +80,33 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str,
 
 
 class Written:
-    """RAW, SILVER and STAR for one input folder, written once per session.
+    """RAW, SILVER and STAR written under ``root`` (full refresh).
 
-    ``raw``/``silver``/``star`` are dicts of DataFrames that scan the
-    written tables.  ``silver_stage()``/``star_stage()`` rebuild one layer
-    lazily from the written tables it depends on (what one ELT step
-    computes), so a stage query measures exactly that step.
+    ``landed``: the five landed RAW extracts (lazy frames, e.g. from
+    ``read_landing``).  ``raw``/``silver``/``star`` are dicts of DataFrames
+    that scan the written tables.  ``silver_stage()``/``star_stage()``
+    rebuild one layer lazily from the written tables it depends on (what
+    one ELT step computes), so a stage query measures exactly that step.
+
+    ``master_rows`` / ``dim_bounds``: proven row bounds that allow
+    broadcasting the institution master and the dimensions; unknown bounds
+    leave the join strategy to the planner (which sees the written sizes).
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str,
-                 bucket_facts: int | bool | None = None):
-        self.spark, self.sf_dir, self.root = spark, sf_dir, root
+    def __init__(self, spark: SparkSession, landed: dict, root: str,
+                 bucket_facts: int | bool | None = None, master_rows: int | None = None,
+                 dim_bounds: dict | None = None):
+        self.spark, self.root = spark, root
         self.bucket_facts = bucket_facts
-        self.bounds = {"dim_institution": testdata.N_INSTITUTIONS,
-                       "dim_program": len(testdata.PROGRAM_CODES)}
+        self.master_rows = master_rows
+        self.bounds = dict(dim_bounds or {})
         self.raw, self.silver, self.star = {}, {}, {}
         silver_steps, star_steps = self._silver_steps(), self._star_steps()
         # Independent writes of one wave are submitted together (Spark runs
         # jobs from several threads concurrently); a wave starts when the
         # tables it reads are written.
         waves = [
-            [("raw", n, (lambda df=df: df)) for n, df in
-             testdata.raw_tables(spark, sf_dir).items()],
+            [("raw", n, (lambda df=df: df)) for n, df in landed.items()],
             [("silver", n, silver_steps[n]) for n in
              ("institutions", "enrollments", "funding_decisions")],
             [("silver", "applications", silver_steps["applications"])],
@@ -134,7 +139,7 @@ class Written:
 
     def _silver_steps(self) -> dict:
         from fundlake.plans import silver as sv
-        raw, done, m = self.raw, self.silver, testdata.N_INSTITUTIONS
+        raw, done, m = self.raw, self.silver, self.master_rows
         return {
             "institutions": lambda: sv.silver_institutions(raw["institutions"]),
             "applications": lambda: sv.silver_applications(raw["applications"],
@@ -198,10 +203,29 @@ def written(spark: SparkSession, sf_dir: str, bucket_facts: int | None | bool =
     key = (spark.sparkContext.applicationId, sf_dir, bucket_facts)
     w = _WRITTEN.get(key)
     if w is None:
-        w = Written(spark, sf_dir, shared_dir(spark, "layers"), bucket_facts)
+        bounds = {"dim_institution": testdata.N_INSTITUTIONS,
+                  "dim_program": len(testdata.PROGRAM_CODES)}
+        w = Written(spark, testdata.raw_tables(spark, sf_dir), shared_dir(spark, "layers"),
+                    bucket_facts, master_rows=testdata.N_INSTITUTIONS, dim_bounds=bounds)
         _WRITTEN[key] = w
     return w
 
 
+def from_landing_folder(spark: SparkSession, landing: str, out: str | None = None,
+                        bucket_facts: int | bool | None = None,
+                        min_partitions: int | None = None) -> Written:
+    """Run the whole ELT from a folder holding the five extracts, one
+    sub-folder (or file glob) per extract named like its table
+    (``institutions``, ``applications``, ...; plain or ``.gz`` CSV).
+    Layers are written under ``out`` (default: a fresh folder in the shared
+    checkpoint location)."""
+    from fundlake.session import shared_dir
+    from fundlake.sources.landing import LANDING_SCHEMAS, read_landing
+    landed = {name: read_landing(spark, f"{landing.rstrip('/')}/{name}*", schema,
+                                 min_partitions=min_partitions)
+              for name, schema in LANDING_SCHEMAS.items()}
+    return Written(spark, landed, out or shared_dir(spark, "layers"), bucket_facts)
+
+
 def forget_written() -> None:
     _WRITTEN.clear()

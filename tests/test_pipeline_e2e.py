@@ -195,3 +195,17 @@ def test_views_by_name(spark, layers):
     assert spark.table("v_funding_equity").count() == 5
     assert spark.sql("SELECT count(*) FROM v_disbursement_lag").first()[0] == 1
     assert spark.table("v_program_efficiency").where("flag LIKE 'Review%'").count() == 1
+
+
+def test_from_landing_folder_and_cli(spark, landed, tmp_path, capsys):
+    root, _ = landed
+    w = pipeline.from_landing_folder(spark, str(root), out=str(tmp_path / "layers"))
+    eq = {(r.institution_name, r.fiscal_year): r.funding_per_student
+          for r in reports.funding_equity(w.layers().tables()).collect()}
+    assert eq[("South Valley University", "2023")] == 2632 and len(eq) == 5
+    assert w.silver_stage("disbursements").where("orphan_flag").count() == 2
+    from fundlake.__main__ import main
+    main(["--landing", str(root), "--out", str(tmp_path / "cli"), "--role", "INSTITUTION_USER"])
+    out = capsys.readouterr().out
+    assert "v_funding_equity" in out and "South Valley University" in out
+    assert "North Plains College" not in out.split("v_funding_equity")[1].split("==")[0]
