@@ -79,6 +79,15 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str,
     return spark.read.parquet(path)
 
 
+def assert_unique(df: DataFrame, key: str) -> None:
+    """Fail when ``key`` repeats in ``df`` (a small dimension; one job)."""
+    dup = (df.where(F.col(key).isNotNull()).groupBy(key).count()
+           .where(F.col("count") > 1).select(key).limit(3).collect())
+    if dup:
+        raise ValueError(f"{key} is not unique: {[r[0] for r in dup]} repeat; "
+                         "fix the master extract before building facts")
+
+
 class Written:
     """RAW, SILVER and STAR written under ``root`` (full refresh).
 
@@ -117,8 +126,13 @@ class Written:
              ("fact_applications", "fact_disbursements", "fact_enrollments")],
         ]
         for i, wave in enumerate(waves):
-            if i == len(waves) - 1 and self.bucket_facts is True:
-                self.bucket_facts = bucket_count(spark, f"{root}/silver/disbursements")
+            if i == len(waves) - 1:
+                # Facts look dimensions up by natural key: a repeated key
+                # would multiply fact rows, so refuse to go on.
+                assert_unique(self.star["dim_institution"], "institution_id")
+                assert_unique(self.star["dim_program"], "program_code")
+                if self.bucket_facts is True:
+                    self.bucket_facts = bucket_count(spark, f"{root}/silver/disbursements")
             self._run_wave(wave)
 
     def _run_wave(self, wave) -> None:

@@ -209,3 +209,15 @@ def test_from_landing_folder_and_cli(spark, landed, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "v_funding_equity" in out and "South Valley University" in out
     assert "North Plains College" not in out.split("v_funding_equity")[1].split("==")[0]
+
+
+def test_duplicate_master_id_is_refused(spark, tmp_path):
+    import pytest as _pytest
+    root = tmp_path / "dup"
+    for name, text in FILES.items():
+        (root / name).mkdir(parents=True)
+        if name == "institutions":
+            text = text + "INST-001,North Plains Again,College,North,Small\n"
+        (root / name / f"{name}.csv").write_text(text)
+    with _pytest.raises(ValueError, match="institution_id is not unique"):
+        pipeline.from_landing_folder(spark, str(root), out=str(tmp_path / "out"))
