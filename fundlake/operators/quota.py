@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundlake.operators.lookup import bounded
+from fundlake.operators.lookup import BROADCAST_MAX_ROWS, bounded
+from fundlake.session import ensure_checkpoint_dir
 
 # Monitors and their triggers (percent of quota -> action).
 # warehouse None = account-wide monitor covering every warehouse.
@@ -78,6 +79,10 @@ def quota_status(usage: DataFrame, monitors: DataFrame, triggers: DataFrame,
 
     # 1) bucket totals and their running sums (<= 44,640 buckets per group)
     b = u.groupBy("monitor", "quota", "month", "bucket").agg(F.sum("credits").alias("b_credits"))
+    # Reliable checkpoint (shared folder): the bucket totals are read twice
+    # below and the crossing count needs them once more.
+    ensure_checkpoint_dir(usage.sparkSession)
+    b = b.checkpoint(eager=True)
     wb = Window.partitionBy("monitor", "month").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, 0)
     b = (b.withColumn("cum_end", F.sum("b_credits").over(wb))
@@ -96,11 +101,14 @@ def quota_status(usage: DataFrame, monitors: DataFrame, triggers: DataFrame,
                         need.alias("need")))
 
     # 3) walk only those buckets' rows to find the exact crossing row.  The
-    #    crossings table has at most one row per (monitor, month, level),
-    #    so the join touches only the crossing buckets' rows.
+    #    crossings table has at most one row per (monitor, month, level); it
+    #    is counted, and broadcast when within the limit, so usage rows are
+    #    filtered map-side and only the crossing buckets' rows are shuffled.
+    n_cross = crossing.count()
+    cross = F.broadcast(crossing) if n_cross <= BROADCAST_MAX_ROWS else crossing
     wr = Window.partitionBy("monitor", "month", "bucket", "level").orderBy(
         "start_time", "_id").rowsBetween(Window.unboundedPreceding, 0)
-    hits = (u.join(crossing, ["monitor", "month", "bucket"])
+    hits = (u.join(cross, ["monitor", "month", "bucket"])
             .withColumn("run", F.sum("credits").over(wr))
             .where((F.col("cum_start") + F.col("run")).cast("double") >= F.col("need"))
             .groupBy("monitor", "month", "level", "action")

@@ -35,6 +35,20 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable-checkpoint folder: ``spark.checkpoint.dir`` from the
+    session (the shared folder on a cluster); a private one only when
+    unset (local tests)."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
+        prefix="fundlake-ckpt-")
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir()
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
