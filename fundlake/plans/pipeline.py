@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +65,7 @@ def registry_for(spark: SparkSession, layers: Layers, ent: DataFrame | None = No
 # --------------------------------------------------------------------------
 
 _WRITTEN: dict = {}
+_WRITTEN_LOCK = threading.Lock()
 
 
 def _write_read(spark: SparkSession, df: DataFrame, path: str,
@@ -215,13 +217,14 @@ def written(spark: SparkSession, sf_dir: str, bucket_facts: int | None | bool =
     """
     from fundlake.session import shared_dir
     key = (spark.sparkContext.applicationId, sf_dir, bucket_facts)
-    w = _WRITTEN.get(key)
-    if w is None:
-        bounds = {"dim_institution": testdata.N_INSTITUTIONS,
-                  "dim_program": len(testdata.PROGRAM_CODES)}
-        w = Written(spark, testdata.raw_tables(spark, sf_dir), shared_dir(spark, "layers"),
-                    bucket_facts, master_rows=testdata.N_INSTITUTIONS, dim_bounds=bounds)
-        _WRITTEN[key] = w
+    with _WRITTEN_LOCK:      # concurrent callers share one build
+        w = _WRITTEN.get(key)
+        if w is None:
+            bounds = {"dim_institution": testdata.N_INSTITUTIONS,
+                      "dim_program": len(testdata.PROGRAM_CODES)}
+            w = Written(spark, testdata.raw_tables(spark, sf_dir), shared_dir(spark, "layers"),
+                        bucket_facts, master_rows=testdata.N_INSTITUTIONS, dim_bounds=bounds)
+            _WRITTEN[key] = w
     return w
 
 
