@@ -78,3 +78,12 @@ def test_date_text_roundtrip(spark, dates):
             assert p == dt.date(d.year, d.day, d.month)
         else:
             assert p == d
+
+
+def test_odd_fiscal_year_fails_loudly(spark):
+    import pytest as _pytest
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        _pytest.skip("strict casts only raise under ANSI mode")
+    df = spark.createDataFrame([("2023-24",)], "fy string")
+    with _pytest.raises(Exception, match="CAST|cast|DATETIME|date"):
+        df.select(fiscal_year_start("fy")).collect()
