@@ -17,7 +17,9 @@ def surrogate_key(df: DataFrame, order, name: str, ranged_partitions: int | None
     range-partitioned on the key into ``n`` ordered slices; each slice is
     numbered locally and shifted by the row count of all earlier slices
     (an ``n``-row table, broadcast), so no task ever holds more than one
-    slice.
+    slice.  A retried task recomputes its slice in the same sorted order,
+    so keys are stable across executor loss as long as ``order`` is unique
+    (a natural key); with ties, tied rows may swap keys on a retry.
     """
     order = [order] if isinstance(order, str) else list(order)
     spec = [F.col(c).asc_nulls_last() for c in order]
