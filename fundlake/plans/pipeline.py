@@ -189,6 +189,34 @@ class Written:
     def layers(self) -> Layers:
         return Layers(self.raw, self.silver, self.star)
 
+    def register(self, spark: SparkSession | None = None, role: str | None = None,
+                 registry: Registry | None = None) -> list[str]:
+        """Expose the written layers to SQL users as ``raw.*``, ``silver.*``
+        and ``star.*`` tables (external tables over the written files - no
+        copy) plus the three report views.  With ``role``, the facts are
+        also exposed as temp views ``secured_<fact>`` under that role's
+        policies, and the report views are built on those."""
+        from fundlake.plans import reports
+        spark = spark or self.spark
+        names = []
+        for layer in ("raw", "silver", "star"):
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
+            for name in getattr(self, layer):
+                table = f"{layer}.{name}"
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+                spark.catalog.createTable(table, path=f"{self.root}/{layer}/{name}",
+                                          source="parquet")
+                names.append(table)
+        tables = {n: spark.table(f"star.{n}") for n in self.star}
+        if role is not None:
+            reg = registry or registry_for(spark, self.layers(), dim_rows=None)
+            tables = reg.secured_tables(tables, role)
+            for n in ("fact_applications", "fact_disbursements", "fact_enrollments"):
+                tables[n].createOrReplaceTempView(f"secured_{n}")
+                names.append(f"secured_{n}")
+        reports.register_views(spark, tables)
+        return names + list(reports.views(tables))
+
 
 # Aim for about this much of the larger fact per bucket.
 TARGET_BUCKET_BYTES = 256 * 1024 * 1024
