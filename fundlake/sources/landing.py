@@ -63,6 +63,19 @@ def null_tokens(df: DataFrame, cols=None, tokens=NULL_TOKENS) -> DataFrame:
                        for c in df.columns])
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Re-spread a scan that yields fewer splits than the cluster has cores
+    (one unsplittable row group or gzip file would otherwise put all the
+    work that follows on one task).  The split count is known at planning
+    time, so wide inputs pass through untouched - no extra shuffle."""
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
+        return df
+    return df.repartition(want) if have < want else df
+
+
 def read_landing(spark: SparkSession, path, schema: T.StructType,
                  keep_raw_line: bool = False, min_partitions: int | None = None,
                  header: bool = True) -> DataFrame:
@@ -76,7 +89,8 @@ def read_landing(spark: SparkSession, path, schema: T.StructType,
     * null tokens applied to every column.
 
     Gzip files are not splittable: one task per file.  ``min_partitions``
-    re-spreads such input before the (wide) cleansing work.
+    re-spreads such input before the (wide) cleansing work when the scan
+    has fewer splits than that (decided at planning time).
     """
     fields = list(schema.fields)
     if keep_raw_line:
@@ -93,7 +107,7 @@ def read_landing(spark: SparkSession, path, schema: T.StructType,
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
     df = reader.csv(path)
     if min_partitions:
-        df = df.repartition(min_partitions)
+        df = spread(df, min_partitions)
     return null_tokens(df, [f.name for f in schema.fields])
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.functions.dates import date_text, fiscal_year_of
+from fundlake.sources.landing import null_tokens, spread
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
@@ -44,19 +45,6 @@ OTHER_WAREHOUSE = "ADHOC_WH"
 ROLE_BY_USER_MOD4 = ("ANALYST", "ENGINEER", "AUDITOR", "INSTITUTION_USER")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Re-spread a scan that yields fewer splits than the cluster has cores
-    (one unsplittable row group or gzip file would otherwise put all the
-    work that follows on one task).  The split count is known at planning
-    time, so wide inputs pass through untouched - no extra shuffle."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
-        return df
-    return df.repartition(want) if have < want else df
-
-
 # Inputs whose rows feed heavy per-row work (string building, date
 # formatting, joins).  The event log feeds a pushed-down filter and a
 # partial aggregate, where an extra shuffle would cost more than it saves.
@@ -217,7 +205,6 @@ def raw_disbursements(spark, sf_dir) -> DataFrame:
 
 def landed(df: DataFrame) -> DataFrame:
     """What the CSV landing would hold: trimmed text, null tokens as NULL."""
-    from fundlake.sources.landing import null_tokens
     trimmed = df.select(*[F.trim(F.col(c)).alias(c) for c in df.columns])
     return null_tokens(trimmed)
 
