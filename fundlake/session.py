@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
-                  app: str = "fundlake") -> SparkSession:
+                  app: str = "fundlake", extra: dict | None = None) -> SparkSession:
     """Local session with the settings the test-suite and bench use.
 
     On a cluster, build the session with the cluster's own launcher; none
@@ -30,6 +30,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
