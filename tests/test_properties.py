@@ -5,7 +5,6 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from fundlake.functions import money_to_number, try_number
 from fundlake.operators.dedupe import dedupe_first
