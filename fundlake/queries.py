@@ -164,6 +164,12 @@ def date_samples(spark, sf_dir):
     return profiling.sample(_w(spark, sf_dir).raw["applications"], "submission_date", 10)
 
 
+@register("amount_samples")
+def amount_samples(spark, sf_dir):
+    """A peek at five raw approved amounts (money text; a sample, no order)."""
+    return profiling.sample(_w(spark, sf_dir).raw["funding_decisions"], "approved_amount", 5)
+
+
 # ----------------------------------------------------------------- star ----
 def _star_table(name):
     def run(spark, sf_dir):
