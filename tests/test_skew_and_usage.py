@@ -101,3 +101,29 @@ def test_slowest_and_storage(spark):
     st = spark.createDataFrame([("A", 3 * 262144), ("A", 262144), ("B", 1048576)],
                                "table_schema string, active_bytes long")
     assert [tuple(r) for r in usage.storage_by_schema(st).collect()] == [("A", 1.0), ("B", 1.0)]
+
+
+def test_lag_plan_collapses_payments_before_shuffle(spark):
+    d0 = dt.date(2023, 1, 1)
+    fa = spark.createDataFrame([("A", 1, d0)], "application_id string, institution_key long, "
+                                              "submission_date date")
+    fd = spark.createDataFrame([("P", "A", 1, 1, Decimal(1), d0, False)],
+                               "disbursement_id string, application_id string, "
+                               "institution_key long, date_key long, "
+                               "disbursed_amount decimal(38,0), disbursement_date date, "
+                               "orphan_flag boolean")
+    t = {"fact_disbursements": fd, "fact_applications": fa,
+         "dim_institution": spark.createDataFrame([(1, "One")],
+                                                  "institution_key long, institution_name string"),
+         "dim_date": spark.createDataFrame([(1, "2023")], "date_key long, fiscal_year string")}
+    plan = reports.disbursement_lag(t, valid_only=True)._jdf.queryExecution() \
+        .executedPlan().toString()
+    lines = plan.splitlines()
+    partial = [i for i, l in enumerate(lines)
+               if "HashAggregate(keys=[application_id" in l and "partial_count" in l]
+    assert partial, plan
+    # the partial aggregate sits below (after, in the printed tree) every
+    # exchange on the payment side: nothing is shuffled before it
+    first_exchange_above = [i for i, l in enumerate(lines[:partial[0]])
+                            if "Exchange hashpartitioning(application_id" in l]
+    assert first_exchange_above, plan
