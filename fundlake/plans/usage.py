@@ -60,3 +60,17 @@ def history_between(history: DataFrame, start: Column | None = None,
     if end is not None:
         out = out.where(F.col("start_time") <= end)
     return out
+
+
+def storage_from_files(spark, roots: dict) -> DataFrame:
+    """Storage per schema measured from the files themselves: a
+    ``binaryFile`` listing of each root (content never read) gives
+    (table_schema, active_bytes) rows for ``storage_by_schema``."""
+    parts = [spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(path)
+             .select(F.lit(schema).alias("table_schema"), F.col("length").alias("active_bytes"))
+             for schema, path in roots.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

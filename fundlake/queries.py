@@ -295,6 +295,14 @@ def storage_by_schema(spark, sf_dir):
     return _usage.storage_by_schema(_td.storage_metrics(spark, sf_dir))
 
 
+@register("layer_storage")
+def layer_storage(spark, sf_dir):
+    """MB used by the written RAW / SILVER / STAR layers, from file sizes."""
+    root = _w(spark, sf_dir).root
+    roots = {layer: f"{root}/{layer}" for layer in ("raw", "silver", "star")}
+    return _usage.storage_by_schema(_usage.storage_from_files(spark, roots))
+
+
 @register("quota_status")
 def quota_status(spark, sf_dir):
     return parity(_quota.quota_status(_td.metering_history(spark, sf_dir),
