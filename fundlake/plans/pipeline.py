@@ -68,8 +68,12 @@ _WRITTEN: dict = {}
 _WRITTEN_LOCK = threading.Lock()
 
 
+FACTS = ("fact_applications", "fact_disbursements", "fact_enrollments")
+
+
 def _write_read(spark: SparkSession, df: DataFrame, path: str,
-                bucket: tuple | None = None, table: str | None = None) -> DataFrame:
+                bucket: tuple | None = None, table: str | None = None,
+                partition_by: str | None = None) -> DataFrame:
     if bucket and table:
         n, col = bucket
         # Hash-partition on the bucket column first: each task then holds
@@ -77,8 +81,13 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str,
         (df.repartition(n, col).write.mode("overwrite").format("parquet").option("path", path)
            .bucketBy(n, col).sortBy(col).saveAsTable(table))
         return spark.table(table)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+    # Read back with the written schema (partition columns keep their type)
+    # and the original column order.
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def assert_unique(df: DataFrame, key: str) -> None:
@@ -147,11 +156,16 @@ class Written:
             getattr(self, layer)[name] = fut.result()
 
     def _write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        bucket = table = None
+        bucket = table = part = None
         if self.bucket_facts and name in ("fact_applications", "fact_disbursements"):
             tag = abs(hash(self.root)) % 10**8
             bucket, table = (self.bucket_facts, "application_id"), f"fl{tag}_{name}"
-        return _write_read(self.spark, df, f"{self.root}/{layer}/{name}", bucket, table)
+        elif layer == "star" and name in FACTS:
+            # One folder per fiscal year: a report filtered by year (through
+            # the date dimension) prunes fact folders at run time (dynamic
+            # partition pruning).  Tens of folders, not thousands.
+            part = "date_key"
+        return _write_read(self.spark, df, f"{self.root}/{layer}/{name}", bucket, table, part)
 
     def _silver_steps(self) -> dict:
         from fundlake.plans import silver as sv
@@ -206,6 +220,8 @@ class Written:
                 spark.sql(f"DROP TABLE IF EXISTS {table}")
                 spark.catalog.createTable(table, path=f"{self.root}/{layer}/{name}",
                                           source="parquet")
+                if layer == "star" and name in FACTS and not self.bucket_facts:
+                    spark.catalog.recoverPartitions(table)   # date_key folders
                 names.append(table)
         tables = {n: spark.table(f"star.{n}") for n in self.star}
         if role is not None:

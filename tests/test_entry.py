@@ -57,3 +57,12 @@ def test_lazy_pipeline_equals_written(spark):
     lazy = reports.funding_equity(pipeline.from_driver_tables(spark, SF).tables())
     written = reports.funding_equity(pipeline.written(spark, SF).layers().tables())
     assert sorted(map(tuple, lazy.collect())) == sorted(map(tuple, written.collect()))
+
+
+def test_year_filter_prunes_fact_partitions(spark):
+    from fundlake.plans import pipeline, reports
+    w = pipeline.written(spark, SF)
+    df = reports.funding_equity(w.layers().tables()).where("fiscal_year = '1997'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [l for l in plan.splitlines() if "FileScan" in l and "/star/fact_" in l]
+    assert scans and all("dynamicpruningexpression" in l for l in scans)
