@@ -81,10 +81,14 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str,
         (df.repartition(n, col).write.mode("overwrite").format("parquet").option("path", path)
            .bucketBy(n, col).sortBy(col).saveAsTable(table))
         return spark.table(table)
-    w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+        # REBALANCE groups rows by folder and lets AQE size the files: a big
+        # year is split over several tasks, small ones are merged, instead
+        # of every task writing one small file per year it holds.
+        df.hint("rebalance", partition_by).write.mode("overwrite") \
+            .partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     # Read back with the written schema (partition columns keep their type)
     # and the original column order.
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
