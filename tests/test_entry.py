@@ -66,3 +66,13 @@ def test_year_filter_prunes_fact_partitions(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     scans = [l for l in plan.splitlines() if "FileScan" in l and "/star/fact_" in l]
     assert scans and all("dynamicpruningexpression" in l for l in scans)
+
+
+def test_bucketed_facts_give_the_same_reports(spark):
+    from fundlake.plans import pipeline, reports
+    plain = pipeline.written(spark, SF).layers().tables()
+    bucketed = pipeline.written(spark, SF, bucket_facts=True).layers().tables()
+    for valid in (False, True):
+        a = sorted(map(tuple, reports.disbursement_lag(plain, valid).collect()))
+        b = sorted(map(tuple, reports.disbursement_lag(bucketed, valid).collect()))
+        assert a == b and a
