@@ -76,3 +76,8 @@ def test_bucketed_facts_give_the_same_reports(spark):
         a = sorted(map(tuple, reports.disbursement_lag(plain, valid).collect()))
         b = sorted(map(tuple, reports.disbursement_lag(bucketed, valid).collect()))
         assert a == b and a
+
+
+def test_layer_storage_rows(spark):
+    rows = {r.table_schema: r.mb_used for r in E.queries()["layer_storage"](spark, SF).collect()}
+    assert set(rows) == {"raw", "silver", "star"} and all(v > 0 for v in rows.values())
