@@ -94,12 +94,20 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str,
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def assert_unique(df: DataFrame, key: str) -> None:
-    """Fail when ``key`` repeats in ``df`` (a small dimension; one job)."""
-    dup = (df.where(F.col(key).isNotNull()).groupBy(key).count()
-           .where(F.col("count") > 1).select(key).limit(3).collect())
-    if dup:
-        raise ValueError(f"{key} is not unique: {[r[0] for r in dup]} repeat; "
+def assert_unique(*checks: tuple[DataFrame, str]) -> None:
+    """Fail when a key repeats in any (small dimension, key) pair; all
+    pairs are checked in one job."""
+    parts = [df.where(F.col(key).isNotNull()).groupBy(key).count()
+             .where(F.col("count") > 1)
+             .select(F.lit(key).alias("key"), F.col(key).cast("string").alias("value"))
+             for df, key in checks]
+    dup = parts[0]
+    for p in parts[1:]:
+        dup = dup.unionByName(p)
+    found = dup.limit(3).collect()
+    if found:
+        key = found[0]["key"]
+        raise ValueError(f"{key} is not unique: {[r['value'] for r in found]} repeat; "
                          "fix the master extract before building facts")
 
 
@@ -144,8 +152,8 @@ class Written:
             if i == len(waves) - 1:
                 # Facts look dimensions up by natural key: a repeated key
                 # would multiply fact rows, so refuse to go on.
-                assert_unique(self.star["dim_institution"], "institution_id")
-                assert_unique(self.star["dim_program"], "program_code")
+                assert_unique((self.star["dim_institution"], "institution_id"),
+                              (self.star["dim_program"], "program_code"))
                 if self.bucket_facts is True:
                     self.bucket_facts = bucket_count(spark, f"{root}/silver/disbursements")
             self._run_wave(wave)
