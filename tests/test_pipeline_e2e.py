@@ -221,3 +221,14 @@ def test_duplicate_master_id_is_refused(spark, tmp_path):
         (root / name / f"{name}.csv").write_text(text)
     with _pytest.raises(ValueError, match="institution_id is not unique"):
         pipeline.from_landing_folder(spark, str(root), out=str(tmp_path / "out"))
+
+
+def test_cli_with_entitlement_file(spark, landed, tmp_path, capsys):
+    root, _ = landed
+    ent = tmp_path / "ent.csv"
+    ent.write_text("role_name,institution_id\nREGION_NORTH,INST-001\n")
+    from fundlake.__main__ import main
+    main(["--landing", str(root), "--out", str(tmp_path / "cli2"), "--role", "REGION_NORTH",
+          "--entitlements", str(ent)])
+    equity = capsys.readouterr().out.split("v_funding_equity")[1].split("==")[0]
+    assert "North Plains College" in equity and "South Valley University" not in equity
