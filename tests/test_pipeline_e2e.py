@@ -232,3 +232,12 @@ def test_cli_with_entitlement_file(spark, landed, tmp_path, capsys):
           "--entitlements", str(ent)])
     equity = capsys.readouterr().out.split("v_funding_equity")[1].split("==")[0]
     assert "North Plains College" in equity and "South Valley University" not in equity
+
+
+def test_gzip_input_is_spread_only_when_asked(spark, landed):
+    root, _ = landed
+    path = str(root / "enrollments")
+    one = read_landing(spark, path, LANDING_SCHEMAS["enrollments"])
+    four = read_landing(spark, path, LANDING_SCHEMAS["enrollments"], min_partitions=4)
+    assert one.rdd.getNumPartitions() == 1 and four.rdd.getNumPartitions() == 4
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, four.collect()))
