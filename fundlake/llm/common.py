@@ -56,6 +56,19 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def per_worker(key, make: Callable):
+    """``make()`` once for each Python process: tables that tasks share.
+
+    Functions arrive by value with every task, so a module variable would be
+    built again each time.
+    """
+    import sys
+    store = vars(sys).setdefault("_fundlake_tables", {})
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def slices(batches, rows: int = 512, chars: int = 4_000_000):
     """Cut Arrow batches into pieces of bounded rows and text bytes, so that
     a task's memory does not follow the batch size or a run of long texts."""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from fundlake.llm import rules, simhash
+from fundlake.llm import bpe, chat, kernel, pivots, rules, simhash
 
-MODULES = (simhash, rules)
+MODULES = (simhash, chat, pivots, kernel, bpe, rules)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
