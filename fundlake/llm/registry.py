@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from fundlake.llm import bpe, chat, grammar, kernel, pii, pivots, rules, simhash
+from fundlake.llm import bpe, chat, grammar, kernel, mixing, pii, pivots, rollup, rules, simhash
 
-MODULES = (pii, simhash, chat, pivots, kernel, bpe, grammar, rules)
+MODULES = (pii, simhash, chat, mixing, pivots, kernel, rollup, bpe, grammar, rules)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

@@ -210,9 +210,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     low, = fresh(docs, "component")
     kept = (near_duplicates(docs, id_col, text_col, shingle_words, max_bits)
             .where("id = component").select(F.col("id").alias(low)).distinct())
-    named = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    out = named.join(kept, named[id_col] == kept[low], "left_semi")
-    return out.unionByName(docs.where(F.col(id_col).isNull()))
+    named = docs.join(kept, docs[id_col] == kept[low], "left_semi").dropDuplicates([id_col])
+    return named.unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
