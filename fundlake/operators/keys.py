@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fundlake.session import shared_dir
 
 
 def surrogate_key(df: DataFrame, order, name: str, ranged_partitions: int | None = None
@@ -13,13 +16,13 @@ def surrogate_key(df: DataFrame, order, name: str, ranged_partitions: int | None
     Default: one global window.  That is a single-task exchange, the right
     plan for a dimension (a few rows per institution, program or year).
 
-    ``ranged_partitions=n``: the scalable form for large inputs.  Rows are
-    range-partitioned on the key into ``n`` ordered slices; each slice is
-    numbered locally and shifted by the row count of all earlier slices
-    (an ``n``-row table, broadcast), so no task ever holds more than one
-    slice.  A retried task recomputes its slice in the same sorted order,
-    so keys are stable across executor loss as long as ``order`` is unique
-    (a natural key); with ties, tied rows may swap keys on a retry.
+    ``ranged_partitions=n``: the scalable form for large or unknown inputs.
+    Rows are range-partitioned on the key into ``n`` ordered slices and
+    written once, each with its slice and its place in it, into the shared
+    folder; sizes and keys are then both taken from that one copy, so the
+    numbering cannot depend on how a range exchange sampled its bounds.  No
+    task holds more than one slice, and only the ``n`` slice sizes meet.
+    Rows that tie in ``order`` get neighbouring keys in any order.
     """
     order = [order] if isinstance(order, str) else list(order)
     spec = [F.col(c).asc_nulls_last() for c in order]
@@ -27,17 +30,20 @@ def surrogate_key(df: DataFrame, order, name: str, ranged_partitions: int | None
         w = Window.orderBy(*spec)
         return df.select(F.row_number().over(w).cast("bigint").alias(name), *df.columns)
 
-    # Range slices, each sorted; within a slice monotonically_increasing_id
-    # counts rows in order in its low 33 bits, so local numbering needs no
-    # second shuffle.  Only the n slice sizes meet in one task.
-    sliced = (df.repartitionByRange(ranged_partitions, *spec).sortWithinPartitions(*spec)
-              .select("*", F.spark_partition_id().alias("_slice"),
-                      F.monotonically_increasing_id().alias("_mid")))
-    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    # monotonically_increasing_id counts a partition's rows in order in its
+    # low 33 bits, so the place in the slice needs no second shuffle.
+    path = shared_dir(df.sparkSession, "surrogate-key")
+    (df.repartitionByRange(ranged_partitions, *spec).sortWithinPartitions(*spec)
+       .select("*", F.spark_partition_id().alias("_slice"),
+               (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("_place"))
+       .write.parquet(path))
+    schema = T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType()),
+                           T.StructField("_place", T.LongType())])
+    sliced = df.sparkSession.read.schema(schema).parquet(path)
     sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_slice",
         F.coalesce(F.sum("_n").over(Window.orderBy("_slice").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
     out = sliced.join(F.broadcast(offsets), "_slice")  # n rows: bounded by n
-    return out.select((F.col("_offset") + local).cast("bigint").alias(name), *df.columns)
+    return out.select((F.col("_offset") + F.col("_place")).cast("bigint").alias(name), *df.columns)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # A dimension is broadcast only when its row count is known to be at most
 # this many rows (about a few MB for a narrow dimension).
 BROADCAST_MAX_ROWS = 1_000_000
+# Tasks that share one hot key when the parent's keys are not known unique.
+ORPHAN_SALTS = 16
 
 
 def bounded(dim: DataFrame, max_rows: int | None) -> DataFrame:
@@ -42,22 +44,34 @@ def conform(df: DataFrame, master: DataFrame, key: str, take: dict[str, str],
 
 
 def flag_orphans(child: DataFrame, parent: DataFrame, key: str, flag: str,
-                 parent_key: str | None = None) -> DataFrame:
+                 parent_key: str | None = None, parent_unique: bool = False,
+                 salts: int = ORPHAN_SALTS) -> DataFrame:
     """Add ``flag`` = TRUE where the child's ``key`` has no parent row.
 
-    Rows are never dropped and never multiplied: the parent side is reduced
-    to its distinct keys first (a partial+final aggregate, so even a hot
-    key costs one row per partition), then LEFT-joined.
+    Rows are never dropped and never multiplied.
+
+    ``parent_unique=True`` (the parent has one row per key by construction,
+    like the de-duplicated applications): the parent is joined as it is, so
+    both sides of the join are plain shuffles and AQE splits a hot key's
+    partition.  Otherwise the parent is reduced to its distinct keys first;
+    that aggregate would keep AQE from splitting the join, so the child is
+    salted over ``salts`` values and each distinct key is repeated once for
+    each: a hot key meets its parent in ``salts`` tasks.
 
     Child rows with a NULL key can never match, but would all hash to the
-    same shuffle partition; their join key is replaced by a per-row salt
+    same shuffle partition; their join key is replaced by a per-row text
     (guarded so it can never match), which spreads them evenly.
     """
     pk = parent_key or key
-    keys = parent.select(F.col(pk).alias("_pkey")).where(F.col("_pkey").isNotNull()).distinct()
-    salt = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in child.columns]).cast("string"))
-    c = child.withColumn("_ckey", F.coalesce(F.col(key), salt))
-    joined = c.join(keys, (F.col("_ckey") == F.col("_pkey")) & F.col(key).isNotNull(), "left")
+    keys = parent.select(F.col(pk).alias("_pkey")).where(F.col("_pkey").isNotNull())
+    own = F.xxhash64(*[F.col(c) for c in child.columns])
+    c = child.withColumn("_ckey", F.coalesce(F.col(key), F.concat(F.lit("\u0000"), own.cast("string"))))
+    on = (F.col("_ckey") == F.col("_pkey")) & F.col(key).isNotNull()
+    if not parent_unique:
+        c = c.withColumn("_csalt", F.pmod(own, F.lit(salts)).cast("int"))
+        keys = keys.distinct().withColumn("_psalt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on = on & (F.col("_csalt") == F.col("_psalt"))
+    joined = c.join(keys, on, "left")
     return joined.select(*[F.col(x) for x in child.columns],
                          F.col("_pkey").isNull().alias(flag))
 

@@ -69,7 +69,8 @@ def silver_disbursements(raw: DataFrame, applications: DataFrame) -> DataFrame:
         try_number("disbursed_amount").alias("disbursed_amount"),
         parse_any_date("disbursement_date").alias("disbursement_date"),
     )
-    return flag_orphans(typed, applications, "application_id", "orphan_flag")
+    # SILVER applications is unique by construction (dedupe_first on the key).
+    return flag_orphans(typed, applications, "application_id", "orphan_flag", parent_unique=True)
 
 
 def build_silver(raw: dict, master_rows: int | None = None) -> dict:

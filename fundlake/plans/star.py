@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fundlake.functions.dates import fiscal_year_end, fiscal_year_label, fiscal_year_start
 from fundlake.operators.keys import surrogate_key
-from fundlake.operators.lookup import lookup_keys
+from fundlake.operators.lookup import BROADCAST_MAX_ROWS, lookup_keys
 from fundlake.sources.landing import count_rows_by_table
 
 # The funding-type reference dimension.
@@ -20,19 +20,23 @@ FUNDING_TYPES = (
 )
 FUNDING_TYPE_SCHEMA = ("funding_type_key bigint, funding_type_code string, "
                        "funding_type_name string, funding_stream string")
-# One date row per fiscal year: a strict int cast bounds the dimension to
-# at most 10^4 rows (one per 4-digit year); safe to broadcast.
-DIM_DATE_MAX_ROWS = 10_000
 
+def _slices(df: DataFrame, max_rows: int | None) -> int | None:
+    """How a dimension is numbered: in one window when its rows are known to
+    be few, in range slices when nothing bounds them."""
+    if max_rows is not None and max_rows <= BROADCAST_MAX_ROWS:
+        return None
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def dim_institution(institutions: DataFrame) -> DataFrame:
-    return surrogate_key(institutions, "institution_id", "institution_key")
 
+def dim_institution(institutions: DataFrame, max_rows: int | None = None) -> DataFrame:
+    return surrogate_key(institutions, "institution_id", "institution_key", _slices(institutions, max_rows))
 
-def dim_program(applications: DataFrame) -> DataFrame:
+
+def dim_program(applications: DataFrame, max_rows: int | None = None) -> DataFrame:
     progs = (applications.where(F.col("program_code").isNotNull())
              .groupBy("program_code").agg(F.max("program_name").alias("program_name")))
-    return surrogate_key(progs, "program_code", "program_key")
+    return surrogate_key(progs, "program_code", "program_key", _slices(progs, max_rows))
 
 
 def dim_funding_type(spark: SparkSession) -> DataFrame:
@@ -56,7 +60,7 @@ def fact_applications(apps: DataFrame, dims: dict, bounds: dict) -> DataFrame:
          bounds.get("dim_institution")),
         (dims["dim_program"], "program_code", "program_code", "program_key",
          bounds.get("dim_program")),
-        (dims["dim_date"], "fiscal_year", "fiscal_year", "date_key", DIM_DATE_MAX_ROWS),
+        (dims["dim_date"], "fiscal_year", "fiscal_year", "date_key", bounds.get("dim_date")),
         (dims["dim_funding_type"], "funding_type_code", "funding_type_code",
          "funding_type_key", len(FUNDING_TYPES)),
     ])
@@ -68,7 +72,7 @@ def fact_disbursements(disb: DataFrame, dims: dict, bounds: dict) -> DataFrame:
     f = lookup_keys(disb, [
         (dims["dim_institution"], "institution_id", "institution_id", "institution_key",
          bounds.get("dim_institution")),
-        (dims["dim_date"], "fiscal_year", "fiscal_year", "date_key", DIM_DATE_MAX_ROWS),
+        (dims["dim_date"], "fiscal_year", "fiscal_year", "date_key", bounds.get("dim_date")),
     ])
     return f.select("disbursement_id", "application_id", "institution_key", "date_key",
                     "disbursed_amount", "disbursement_date", "orphan_flag")
@@ -80,7 +84,7 @@ def fact_enrollments(enr: DataFrame, dims: dict, bounds: dict) -> DataFrame:
          bounds.get("dim_institution")),
         (dims["dim_program"], "program_code", "program_code", "program_key",
          bounds.get("dim_program")),
-        (dims["dim_date"], "fiscal_year", "fiscal_year", "date_key", DIM_DATE_MAX_ROWS),
+        (dims["dim_date"], "fiscal_year", "fiscal_year", "date_key", bounds.get("dim_date")),
     ])
     return f.select("enrollment_id", "institution_key", "program_key", "date_key",
                     "headcount", "headcount_missing_flag")
@@ -92,12 +96,12 @@ def build_star(spark: SparkSession, silver: dict, bounds: dict | None = None) ->
     ``bounds``: proven row bounds for the data-derived dimensions
     (``dim_institution``, ``dim_program``); a bounded dimension is
     broadcast into the fact lookups, an unbounded one is left to the
-    planner/AQE.  ``materialize_star`` measures them for real.
+    planner/AQE and numbered in range slices.
     """
     bounds = bounds or {}
     dims = {
-        "dim_institution": dim_institution(silver["institutions"]),
-        "dim_program": dim_program(silver["applications"]),
+        "dim_institution": dim_institution(silver["institutions"], bounds.get("dim_institution")),
+        "dim_program": dim_program(silver["applications"], bounds.get("dim_program")),
         "dim_funding_type": dim_funding_type(spark),
         "dim_date": dim_date(silver["applications"]),
     }
