@@ -67,27 +67,45 @@ class MaskPolicy:
         return df.withColumn(self.column, masked)
 
 
+def plain_name(table: str) -> str:
+    """A table's name without quoting, namespace or letter case, so that every
+    spelling of a table meets the same policies."""
+    return table.replace("`", "").strip().rpartition(".")[2].lower()
+
+
 @dataclass
 class Registry:
     """Table name -> attached policies.  Kept apart from the tables, so a
-    full rebuild of a table never drops its policies."""
+    full rebuild of a table never drops its policies.
+
+    Closed by default: a table that was neither given a policy nor opened by
+    name is refused, whoever asks.
+    """
 
     policies: dict = field(default_factory=dict)
 
     def attach(self, table: str, policy) -> "Registry":
-        self.policies.setdefault(table, []).append(policy)
+        self.policies.setdefault(plain_name(table), []).append(policy)
+        return self
+
+    def open(self, *tables: str) -> "Registry":
+        """Name tables that anyone may read whole."""
+        for t in tables:
+            self.policies.setdefault(plain_name(t), [])
         return self
 
     def detach(self, table: str, policy_type=None) -> "Registry":
-        if policy_type is None:
-            self.policies.pop(table, None)
-        else:
-            self.policies[table] = [p for p in self.policies.get(table, [])
-                                    if not isinstance(p, policy_type)]
+        """Take policies off; the table stays known (and open without any)."""
+        name = plain_name(table)
+        self.policies[name] = [] if policy_type is None else [
+            p for p in self.policies.get(name, []) if not isinstance(p, policy_type)]
         return self
 
     def secure(self, table: str, df: DataFrame, role: str) -> DataFrame:
-        for p in self.policies.get(table, []):
+        name = plain_name(table)
+        if name not in self.policies:
+            raise PermissionError(f"no policy is known for table {table!r}; attach one or open it by name")
+        for p in self.policies[name]:
             df = p.apply(df, role)
         return df
 
@@ -105,7 +123,7 @@ def standard_registry(entitlements: DataFrame, dim_institution: DataFrame,
     for t in ("fact_applications", "fact_disbursements", "fact_enrollments"):
         reg.attach(t, rp)
     reg.attach("fact_enrollments", MaskPolicy("headcount"))
-    return reg
+    return reg.open("dim_institution", "dim_program", "dim_date", "dim_funding_type")
 
 
 def rows_visible(registry: Registry, table: str, df: DataFrame, roles) -> DataFrame:

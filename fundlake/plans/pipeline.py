@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import threading
+import uuid
+from zlib import crc32
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +54,7 @@ def entitlements(spark: SparkSession, rows=ENTITLEMENTS) -> DataFrame:
 
 
 def registry_for(spark: SparkSession, layers: Layers, ent: DataFrame | None = None,
-                 dim_rows: int | None = testdata.N_INSTITUTIONS) -> Registry:
+                 dim_rows: int | None = None) -> Registry:
     return standard_registry(ent if ent is not None else entitlements(spark),
                              layers.star["dim_institution"], dim_rows=dim_rows)
 
@@ -151,9 +153,9 @@ class Written:
         for i, wave in enumerate(waves):
             if i == len(waves) - 1:
                 # Facts look dimensions up by natural key: a repeated key
-                # would multiply fact rows, so refuse to go on.
-                assert_unique((self.star["dim_institution"], "institution_id"),
-                              (self.star["dim_program"], "program_code"))
+                # would multiply fact rows, so refuse to go on.  Programs are
+                # unique by their groupBy; the master is not.
+                assert_unique((self.star["dim_institution"], "institution_id"))
                 if self.bucket_facts is True:
                     self.bucket_facts = bucket_count(spark, f"{root}/silver/disbursements")
             self._run_wave(wave)
@@ -170,7 +172,7 @@ class Written:
     def _write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         bucket = table = part = None
         if self.bucket_facts and name in ("fact_applications", "fact_disbursements"):
-            tag = abs(hash(self.root)) % 10**8
+            tag = crc32(self.root.encode())
             bucket, table = (self.bucket_facts, "application_id"), f"fl{tag}_{name}"
         elif layer == "star" and name in FACTS:
             # One folder per fiscal year: a report filtered by year (through
@@ -196,8 +198,8 @@ class Written:
         from fundlake.plans import star as st
         s, done, b = self.silver, self.star, self.bounds
         return {
-            "dim_institution": lambda: st.dim_institution(s["institutions"]),
-            "dim_program": lambda: st.dim_program(s["applications"]),
+            "dim_institution": lambda: st.dim_institution(s["institutions"], b.get("dim_institution")),
+            "dim_program": lambda: st.dim_program(s["applications"], b.get("dim_program")),
             "dim_funding_type": lambda: st.dim_funding_type(self.spark),
             "dim_date": lambda: st.dim_date(s["applications"]),
             "fact_applications": lambda: st.fact_applications(s["applications"], done, b),
@@ -217,11 +219,16 @@ class Written:
 
     def register(self, spark: SparkSession | None = None, role: str | None = None,
                  registry: Registry | None = None) -> list[str]:
-        """Expose the written layers to SQL users as ``raw.*``, ``silver.*``
-        and ``star.*`` tables (external tables over the written files - no
-        copy) plus the three report views.  With ``role``, the facts are
-        also exposed as temp views ``secured_<fact>`` under that role's
-        policies, and the report views are built on those."""
+        """Expose the written layers to SQL users.
+
+        Without ``role``: ``raw.*``, ``silver.*`` and ``star.*`` (external
+        tables over the written files - no copy) and the three report views.
+        With ``role``: governed objects only - temp views ``secured_<table>``
+        of the star tables as the role sees them, and the report views built
+        on those.  The open tables that an earlier call made are dropped from
+        the catalog then (their files stay); a table of the same name that is
+        not one of these is never dropped: the call fails instead.
+        """
         from fundlake.plans import reports
         spark = spark or self.spark
         names = []
@@ -229,23 +236,40 @@ class Written:
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
             for name in getattr(self, layer):
                 table = f"{layer}.{name}"
-                spark.sql(f"DROP TABLE IF EXISTS {table}")
-                spark.catalog.createTable(table, path=f"{self.root}/{layer}/{name}",
-                                          source="parquet")
+                drop_exposed(spark, table)
+                if role is not None:
+                    continue
+                spark.sql(f"CREATE TABLE {table} USING parquet OPTIONS (path '{self.root}/{layer}/{name}') "
+                          f"TBLPROPERTIES ('{EXPOSED}' = 'true')")
                 if layer == "star" and name in FACTS and not self.bucket_facts:
                     spark.catalog.recoverPartitions(table)   # date_key folders
                 names.append(table)
-        tables = {n: spark.table(f"star.{n}") for n in self.star}
+        tables = dict(self.star)
         if role is not None:
-            reg = registry or registry_for(spark, self.layers(), dim_rows=None)
+            reg = registry or registry_for(spark, self.layers())
             tables = reg.secured_tables(tables, role)
-            for n in ("fact_applications", "fact_disbursements", "fact_enrollments"):
-                tables[n].createOrReplaceTempView(f"secured_{n}")
+            for n, df in tables.items():
+                df.createOrReplaceTempView(f"secured_{n}")
                 names.append(f"secured_{n}")
         reports.register_views(spark, tables)
         return names + list(reports.views(tables))
 
 
+# Marks the external tables that ``register`` made.
+EXPOSED = "fundlake.exposed"
+
+
+def drop_exposed(spark: SparkSession, table: str) -> None:
+    """Drop ``table`` from the catalog if ``register`` made it; refuse if it is
+    someone else's."""
+    if not spark.catalog.tableExists(table):
+        return
+    found = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if f"{EXPOSED}=true" not in found.get("Table Properties", "") or found.get("Type") != "EXTERNAL":
+        raise ValueError(f"{table} exists and was not made by register(); rename one of the two")
+    spark.sql(f"DROP TABLE {table}")
+
+
 # Aim for about this much of the larger fact per bucket.
 TARGET_BUCKET_BYTES = 256 * 1024 * 1024
 
@@ -291,13 +315,44 @@ def from_landing_folder(spark: SparkSession, landing: str, out: str | None = Non
     sub-folder (or file glob) per extract named like its table
     (``institutions``, ``applications``, ...; plain or ``.gz`` CSV).
     Layers are written under ``out`` (default: a fresh folder in the shared
-    checkpoint location)."""
+    checkpoint location), every run into a folder of its own; ``out/CURRENT``
+    names the newest complete one, so a run that fails changes nothing."""
     from fundlake.session import shared_dir
     from fundlake.sources.landing import LANDING_SCHEMAS, read_landing
     landed = {name: read_landing(spark, f"{landing.rstrip('/')}/{name}*", schema,
                                  min_partitions=min_partitions)
               for name, schema in LANDING_SCHEMAS.items()}
-    return Written(spark, landed, out or shared_dir(spark, "layers"), bucket_facts)
+    if out is None:
+        return Written(spark, landed, shared_dir(spark, "layers"), bucket_facts)
+    run = f"run-{uuid.uuid4().hex[:12]}"
+    made = Written(spark, landed, f"{out.rstrip('/')}/{run}", bucket_facts)
+    _switch(spark, out, run)
+    return made
+
+
+def _path(spark: SparkSession, *parts: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path("/".join(x.rstrip("/") for x in parts))
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _switch(spark: SparkSession, out: str, run: str) -> None:
+    """Let ``out/CURRENT`` name ``run``: written beside it, then renamed."""
+    fs, new = _path(spark, out, f"CURRENT-{run}")
+    stream = fs.create(new, True)
+    stream.write(bytearray(run.encode()))
+    stream.close()
+    _, at = _path(spark, out, "CURRENT")
+    fs.delete(at, False)
+    if not fs.rename(new, at):
+        raise OSError(f"could not switch {out} to {run}")
+
+
+def current_run(spark: SparkSession, out: str) -> str | None:
+    """The folder of the newest complete run under ``out``."""
+    fs, at = _path(spark, out, "CURRENT")
+    if not fs.exists(at):
+        return None
+    return f"{out.rstrip('/')}/{spark.read.text(at.toString(), wholetext=True).first()[0].strip()}"
 
 
 def forget_written() -> None:

@@ -4,6 +4,7 @@ scratch location used to cut lineage or stage files."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,37 +38,54 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable-checkpoint folder: ``spark.checkpoint.dir`` from the
-    session (the shared folder on a cluster); a private one only when
-    unset (local tests)."""
+def shared_base(spark: SparkSession) -> str:
+    """The folder every executor can reach: ``spark.checkpoint.dir`` of the
+    session, or the checkpoint folder set on its context.
+
+    Only a session in one process (master ``local``) may go without; it gets a
+    private folder.  On a cluster each executor would write to its own disk,
+    so a missing setting is an error there.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
-        prefix="fundlake-ckpt-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if base:
+        return base
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    base = tempfile.mkdtemp(prefix="fundlake-ckpt-")
     sc.setCheckpointDir(base)
+    return base
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable-checkpoint folder of the session's context."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_base(spark))
     return sc.getCheckpointDir()
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh directory under the cluster's shared checkpoint folder.
+_MADE: dict[str, list[str]] = {}
 
-    The folder named by ``spark.checkpoint.dir`` is the one location every
-    executor can reach; it is read from the session.  Only when it is unset
-    (a local test run) is a private one created and registered.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="fundlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-    path = os.path.join(base, f"{purpose}-{uuid.uuid4().hex[:12]}")
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder name under the shared folder, remembered for
+    ``clear_shared``."""
+    path = os.path.join(shared_base(spark), f"{purpose}-{uuid.uuid4().hex[:12]}")
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
+def clear_shared(spark: SparkSession) -> int:
+    """Delete the folders this session got from ``shared_dir``; returns how
+    many there were.  Frames that read them can't be used afterwards."""
+    gone = 0
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    return gone
+
+
 # Target bytes of shuffle data per reduce task, and of input per scan task.
 SHUFFLE_BYTES_PER_TASK = 256 * 1024 * 1024
 SCAN_BYTES_PER_TASK = 512 * 1024 * 1024
