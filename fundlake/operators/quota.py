@@ -1,20 +1,24 @@
 """Credit quotas: month-to-date usage against trigger levels.
 
-Exact crossing times without one giant window: usage is first summed per
-(monitor, month, minute) - at most 44,640 rows per monitor-month however
-many raw rows there are - and the running total is taken over those
-buckets.  Only the bucket in which a trigger level is crossed is then
-opened up and walked row by row.  An account-wide monitor that covers every warehouse
-(a third or more of all rows) therefore never lands in one task.
+Exact crossing times without one giant window.  Usage is summed per
+(warehouse, minute) before anything else; only those totals are doubled for
+the account-wide monitor.  A running total over a monitor's minutes (at most
+44,640 a month) tells in which minutes a level can be crossed: the total
+before the minute is below it, and the minute's positive credits could lift it
+that far.  Those minutes are opened up in two steps - pieces of one time and
+one range of ids first, then rows - so neither an account-wide monitor nor a
+bulk load with a single timestamp lands in one task.
+
+Credits may be negative (corrections): a level reached and undone again is
+still found, at the row that first reached it.  The plan is lazy and leaves
+every join to the planner.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-from fundlake.operators.lookup import BROADCAST_MAX_ROWS, bounded
-from fundlake.session import ensure_checkpoint_dir
+from pyspark.sql import types as T
 
 # Monitors and their triggers (percent of quota -> action).
 # warehouse None = account-wide monitor covering every warehouse.
@@ -51,76 +55,85 @@ def triggers_frame(spark, triggers=TRIGGERS) -> DataFrame:
     return spark.createDataFrame(list(triggers), TRIGGER_SCHEMA)
 
 
+# Ids that share a piece of a large minute.
+PIECE_IDS = 65_536
+CELL = ["monitor", "month", "level"]
+
+
+def _openings(totals: DataFrame, within: list[str], order: str) -> DataFrame:
+    """Of cells with a ``total`` and a ``gain`` (their positive credits), those
+    in which the running total can first reach ``need``.
+
+    ``base`` is the running total before the group's first cell, ``fresh``
+    whether nothing at all came before it; both are carried on for the cell.
+    """
+    w = Window.partitionBy(*within).orderBy(order)
+    so_far = F.sum("total").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = totals.select("*", (F.col("base") + so_far - F.col("total")).alias("_base"),
+                           (F.col("fresh") & (F.row_number().over(w) == 1)).alias("_fresh"))
+    return (before.drop("base", "fresh").withColumnsRenamed({"_base": "base", "_fresh": "fresh"})
+            .where((F.col("fresh") | (F.col("base").cast("double") < F.col("need")))
+                   & ((F.col("base") + F.col("gain")).cast("double") >= F.col("need")))
+            .drop("total", "gain"))
+
+
 def quota_status(usage: DataFrame, monitors: DataFrame, triggers: DataFrame,
-                 id_col: str = "meter_id", config_rows: int = 10_000,
-                 bucket: str = "minute") -> DataFrame:
+                 id_col: str = "meter_id", bucket: str = "minute") -> DataFrame:
     """One row per (monitor, month) with usage:
 
-    used_credits, quota, pct_used, highest trigger level reached, its
-    action and the exact time the running total first reached it.
+    used_credits, quota, pct_used (NULL for a quota of zero), highest trigger
+    level reached, its action and the exact time the running total first
+    reached it.
 
     ``usage``: (``id_col``, warehouse_name, start_time, credits_used).
-    ``monitors``/``triggers``: small configuration tables (bounded by
-    ``config_rows``; broadcast).
+    ``monitors``/``triggers``: configuration tables.
     """
-    # Each usage row belongs to its warehouse's monitor and to the
-    # account-wide one ("*"): two equi-join keys per row, no theta join.
-    scope = bounded(monitors.select(
-        "monitor", "quota",
-        F.coalesce(F.col("warehouse_name"), F.lit("*")).alias("_scope")), config_rows)
     ts_type = usage.schema["start_time"].dataType   # truncations keep this type
-    u = (usage.select(
-            F.col(id_col).alias("_id"), "start_time", F.col("credits_used").alias("credits"),
-            F.explode(F.array(F.col("warehouse_name"), F.lit("*"))).alias("_scope"))
-         .join(scope, "_scope")
-         .select("monitor", "quota", "_id", "start_time", "credits",
-                 F.date_trunc("month", F.col("start_time")).cast(ts_type).alias("month"),
-                 F.date_trunc(bucket, F.col("start_time")).cast(ts_type).alias("bucket")))
-
-    # 1) bucket totals and their running sums (<= 44,640 buckets per group)
-    b = u.groupBy("monitor", "quota", "month", "bucket").agg(F.sum("credits").alias("b_credits"))
-    # Reliable checkpoint (shared folder): the bucket totals are read twice
-    # below and the crossing count needs them once more.
-    ensure_checkpoint_dir(usage.sparkSession)
-    b = b.checkpoint(eager=True)
-    wb = Window.partitionBy("monitor", "month").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, 0)
-    b = (b.withColumn("cum_end", F.sum("b_credits").over(wb))
-         .withColumn("cum_start", F.col("cum_end") - F.col("b_credits")))
-
-    monthly = b.groupBy("monitor", "quota", "month").agg(
-        F.sum("b_credits").alias("used_credits"))
-
-    # 2) the bucket in which each level is crossed (level% of quota)
-    t = bounded(triggers.select("monitor", "level", "action"), config_rows)
+    numbered = isinstance(usage.schema[id_col].dataType, T.IntegralType)
+    id_range = F.floor(F.col(id_col) / PIECE_IDS) if numbered else F.lit(0)
+    rows = usage.select(
+        F.col(id_col).alias("_id"), "warehouse_name", "start_time", F.col("credits_used").alias("credits"),
+        F.date_trunc(bucket, F.col("start_time")).cast(ts_type).alias("bucket"),
+        F.struct(F.col("start_time").alias("t"), id_range.alias("r")).alias("piece"))
+    gain = F.greatest(F.col("credits"), F.lit(0).cast(usage.schema["credits_used"].dataType))
+
+    scope = monitors.select("monitor", "quota", F.coalesce(F.col("warehouse_name"), F.lit("*")).alias("scope"))
+    cells = rows.groupBy("warehouse_name", "bucket").agg(F.sum("credits").alias("total"), F.sum(gain).alias("gain"))
+    totals = (cells.withColumn("scope", F.explode(F.array("warehouse_name", F.lit("*")))).join(scope, "scope")
+              .groupBy("monitor", "quota", "scope", "bucket")
+              .agg(F.sum("total").alias("total"), F.sum("gain").alias("gain"))
+              .withColumn("month", F.date_trunc("month", F.col("bucket")).cast(ts_type)))
+    monthly = totals.groupBy("monitor", "quota", "month").agg(F.sum("total").alias("used_credits"))
+
+    levels = triggers.select("monitor", "level", "action")
     need = F.col("quota") * F.col("level") / F.lit(100.0)
-    crossing = (b.join(t, "monitor")
-                .where((F.col("cum_end").cast("double") >= need)
-                       & (F.col("cum_start").cast("double") < need))
-                .select("monitor", "month", "bucket", "cum_start", "level", "action",
-                        need.alias("need")))
-
-    # 3) walk only those buckets' rows to find the exact crossing row.  The
-    #    crossings table has at most one row per (monitor, month, level); it
-    #    is counted, and broadcast when within the limit, so usage rows are
-    #    filtered map-side and only the crossing buckets' rows are shuffled.
-    n_cross = crossing.count()
-    cross = F.broadcast(crossing) if n_cross <= BROADCAST_MAX_ROWS else crossing
-    wr = Window.partitionBy("monitor", "month", "bucket", "level").orderBy(
-        "start_time", "_id").rowsBetween(Window.unboundedPreceding, 0)
-    hits = (u.join(cross, ["monitor", "month", "bucket"])
-            .withColumn("run", F.sum("credits").over(wr))
-            .where((F.col("cum_start") + F.col("run")).cast("double") >= F.col("need"))
-            .groupBy("monitor", "month", "level", "action")
+    minutes = _openings(
+        totals.join(levels, "monitor").select(
+            *CELL, "action", "scope", "bucket", "total", "gain", need.alias("need"),
+            F.lit(0).cast("decimal(38,6)").alias("base"), F.lit(True).alias("fresh")), CELL, "bucket")
+
+    def inside(opened: DataFrame, *on: str) -> DataFrame:
+        return rows.join(opened, list(on)).where(
+            (F.col("scope") == "*") | (F.col("scope") == F.col("warehouse_name")))
+
+    keys = [*CELL, "action", "scope", "need", "base", "fresh", "bucket"]
+    pieces = _openings(
+        inside(minutes, "bucket").groupBy(*keys, "piece").agg(
+            F.sum("credits").alias("total"), F.sum(gain).alias("gain")), [*CELL, "bucket"], "piece")
+    walk = Window.partitionBy(*CELL, "bucket", "piece").orderBy("start_time", "_id").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    hits = (inside(pieces, "bucket", "piece")
+            .withColumn("run", F.col("base") + F.sum("credits").over(walk))
+            .where(F.col("run").cast("double") >= F.col("need"))
+            .groupBy(*CELL, "action")
             .agg(F.min_by("start_time", F.struct("start_time", "_id")).alias("crossed_at")))
-
     top = hits.groupBy("monitor", "month").agg(
         F.max_by(F.struct("level", "action", "crossed_at"), "level").alias("top"))
 
     out = monthly.join(top, ["monitor", "month"], "left")
     return out.select(
         "monitor", "month", "used_credits", "quota",
-        (F.col("used_credits").cast("double") / F.col("quota") * 100).alias("pct_used"),
+        (F.try_divide(F.col("used_credits").cast("double"), F.col("quota")) * 100).alias("pct_used"),
         F.col("top.level").alias("level_reached"),
         F.col("top.action").alias("action"),
         F.col("top.crossed_at").alias("crossed_at"))
