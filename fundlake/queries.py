@@ -158,16 +158,25 @@ def headcount_nulls(spark, sf_dir):
     return profiling.null_count(_w(spark, sf_dir).raw["enrollments"], "headcount")
 
 
+def _checked_sample(df: DataFrame, column: str, n: int) -> DataFrame:
+    """A LIMIT sample of a column (any ``n`` rows, no order), reported as its
+    row count and how many of its values are in the extract."""
+    found = df.select(F.col(column).alias("_v")).distinct().withColumn("_in", F.lit(1))
+    s = profiling.sample(df, column, n)
+    return s.join(found, F.col(column).eqNullSafe(F.col("_v")), "left").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("_in").alias("n_members"))
+
+
 @register("date_samples")
 def date_samples(spark, sf_dir):
-    """A peek at ten raw submission dates (any ten: a sample, no order)."""
-    return profiling.sample(_w(spark, sf_dir).raw["applications"], "submission_date", 10)
+    """A peek at ten raw submission dates."""
+    return _checked_sample(_w(spark, sf_dir).raw["applications"], "submission_date", 10)
 
 
 @register("amount_samples")
 def amount_samples(spark, sf_dir):
-    """A peek at five raw approved amounts (money text; a sample, no order)."""
-    return profiling.sample(_w(spark, sf_dir).raw["funding_decisions"], "approved_amount", 5)
+    """A peek at five raw approved amounts (money text)."""
+    return _checked_sample(_w(spark, sf_dir).raw["funding_decisions"], "approved_amount", 5)
 
 
 # ----------------------------------------------------------------- star ----
@@ -193,6 +202,16 @@ def application_keys(spark, sf_dir):
     return surrogate_key(ids, "application_id", "application_key", ranged_partitions=n)
 
 
+@register("wide_keys")
+def wide_keys(spark, sf_dir):
+    """The range-sliced form over a frame wider than its key."""
+    from fundlake.operators.keys import surrogate_key
+    wide = _w(spark, sf_dir).silver["applications"].select(
+        "institution_id", "application_id", "fiscal_year", "status")
+    return surrogate_key(wide, "application_id", "application_key",
+                         ranged_partitions=spark.sparkContext.defaultParallelism)
+
+
 @register("star_counts")
 def star_counts(spark, sf_dir):
     return _star.star_counts(_layers(spark, sf_dir).star)
@@ -210,6 +229,17 @@ def kpi_headline(spark, sf_dir):
                               v["v_program_efficiency"])
 
 
+PICKED_YEARS = ("1994", "1996")
+
+
+@register("kpi_picked_years")
+def kpi_picked_years(spark, sf_dir):
+    """The headline figures for two picked fiscal years."""
+    v = _views(spark, sf_dir)
+    return dashboard.headline(spark, v["v_funding_equity"], v["v_disbursement_lag"],
+                              v["v_program_efficiency"], years=PICKED_YEARS)
+
+
 @register("fiscal_years")
 def fiscal_years(spark, sf_dir):
     return dashboard.fiscal_years(_views(spark, sf_dir)["v_funding_equity"])
@@ -263,6 +293,68 @@ def equity_as_restricted(spark, sf_dir):
     return parity(reports.funding_equity(t))
 
 
+@register("facts_by_name_restricted")
+def facts_by_name_restricted(spark, sf_dir):
+    """SQL over the facts by name, as the restricted role."""
+    _w(spark, sf_dir).register(role=pipeline.RESTRICTED_ROLE)
+    return spark.sql("""SELECT i.institution_id, p.program_code, count(*) AS n, count(e.headcount) AS n_shown
+                        FROM secured_fact_enrollments e
+                        JOIN secured_dim_institution i ON i.institution_key = e.institution_key
+                        LEFT JOIN secured_dim_program p ON p.program_key = e.program_key
+                        GROUP BY i.institution_id, p.program_code""")
+
+
+@register("view_by_name")
+def view_by_name(spark, sf_dir):
+    """A report view read by its name."""
+    _w(spark, sf_dir).register()
+    return parity(spark.sql("SELECT * FROM v_program_efficiency"))
+
+
+@register("tables_by_name")
+def tables_by_name(spark, sf_dir):
+    """Every layer's tables in their namespaces, read by name."""
+    w = _w(spark, sf_dir)
+    w.register()
+    named = {}
+    for layer in ("raw", "silver", "star"):
+        for r in spark.sql(f"SHOW TABLES IN {layer}").where("NOT isTemporary").collect():
+            if r.tableName in getattr(w, layer):
+                named[f"{layer}.{r.tableName}"] = spark.table(f"{layer}.{r.tableName}")
+    return _landing.count_rows_by_table(named)
+
+
+@register("entitlement_inserts")
+def entitlement_inserts(spark, sf_dir):
+    """Roles are entitled by inserting rows into a table; the row policy
+    follows the table."""
+    lay = _layers(spark, sf_dir)
+    path = shared_dir(spark, "entitlements")
+    name = "entitlements_" + path[-12:]
+    _landing.create_layers(spark)
+    _landing.load(pipeline.entitlements(spark), f"star.{name}", path=path)
+    _landing.insert_rows(spark, f"star.{name}", [("REGION_NORTH", "INST-003"), ("REGION_NORTH", "INST-004")],
+                         pipeline.ENTITLEMENT_SCHEMA)
+    reg = pipeline.registry_for(spark, lay, ent=spark.table(f"star.{name}"))
+    return _gov.rows_visible(reg, "fact_disbursements", lay.star["fact_disbursements"],
+                             ("ANALYST", pipeline.RESTRICTED_ROLE, "REGION_NORTH"))
+
+
+@register("policy_detach")
+def policy_detach(spark, sf_dir):
+    """What the restricted role sees before and after policies come off."""
+    lay = _layers(spark, sf_dir)
+    fact = lay.star["fact_enrollments"]
+
+    def seen(step, reg):
+        return reg.secure("fact_enrollments", fact, pipeline.RESTRICTED_ROLE).agg(
+            F.lit(step).alias("step"), F.count(F.lit(1)).alias("n"), F.count("headcount").alias("n_shown"))
+
+    out = seen("both", pipeline.registry_for(spark, lay))
+    out = out.unionByName(seen("mask", pipeline.registry_for(spark, lay).detach("fact_enrollments", _gov.RowPolicy)))
+    return out.unionByName(seen("none", pipeline.registry_for(spark, lay).detach("FACT_ENROLLMENTS")))
+
+
 @register("audit_search")
 def audit_search(spark, sf_dir):
     return _gov.audit(_td.query_history(spark, sf_dir), "%FACT_PURCHASES%", 20)
@@ -297,10 +389,17 @@ def storage_by_schema(spark, sf_dir):
 
 @register("layer_storage")
 def layer_storage(spark, sf_dir):
-    """MB used by the written RAW / SILVER / STAR layers, from file sizes."""
-    root = _w(spark, sf_dir).root
-    roots = {layer: f"{root}/{layer}" for layer in ("raw", "silver", "star")}
-    return _usage.storage_by_schema(_usage.storage_from_files(spark, roots))
+    """The written layers' storage from file sizes: whether it was measured,
+    beside each layer's tables and rows (sizes depend on the codec)."""
+    w = _w(spark, sf_dir)
+    sizes = _usage.storage_by_schema(_usage.storage_from_files(
+        spark, {layer: f"{w.root}/{layer}" for layer in ("raw", "silver", "star")}))
+    parts = [_landing.count_rows_by_table(getattr(w, layer)).agg(
+        F.lit(layer).alias("table_schema"), F.count(F.lit(1)).alias("n_tables"), F.sum("row_count").alias("n_rows"))
+        for layer in ("raw", "silver", "star")]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.join(sizes, "table_schema").select(
+        "table_schema", "n_tables", "n_rows", (F.col("mb_used") >= 0).alias("measured"))
 
 
 @register("quota_status")
@@ -325,6 +424,50 @@ def landing_roundtrip(spark, sf_dir):
     return _landing.read_landing(spark, path, _landing.LANDING_SCHEMAS["funding_decisions"])
 
 
+@register("append_load")
+def append_load(spark, sf_dir):
+    """The decisions extract is loaded in two parts that add up in one table."""
+    path = shared_dir(spark, "append-load")
+    name = "raw.decisions_" + path[-12:]
+    _landing.create_layers(spark)
+    raw = _td.raw_funding_decisions(spark, sf_dir)
+    deferred = F.coalesce(F.lower("decision") == "deferred", F.lit(False))
+    _landing.load(raw.where(deferred), name, path=path)
+    _landing.load(raw.where(~deferred), name, path=path)
+    return spark.table(name)
+
+
+@register("padded_fields")
+def padded_fields(spark, sf_dir):
+    """Blanks around every field of a line are trimmed at load."""
+    path = shared_dir(spark, "landing-padded")
+    e = _td.raw_enrollments(spark, sf_dir)
+    padded = F.concat_ws(" , ", *[F.concat(F.lit("  "), F.coalesce(F.col(c), F.lit("NULL"))) for c in e.columns])
+    e.select(F.concat(padded, F.lit("   ")).alias("value")).write.text(path)
+    return _landing.read_landing(spark, path, _landing.LANDING_SCHEMAS["enrollments"], header=False)
+
+
+@register("quoted_line_breaks")
+def quoted_line_breaks(spark, sf_dir):
+    """Names over two lines, quoted: still one record each."""
+    path = shared_dir(spark, "landing-line-breaks")
+    raw = _td.raw_applications(spark, sf_dir)
+    broken = raw.withColumn("institution_name", F.concat("institution_name", F.lit("\nMain, Campus")))
+    _landing.write_landing_csv(broken, path)
+    return _landing.read_landing(spark, path, _landing.LANDING_SCHEMAS["applications"], multi_line=True)
+
+
+@register("sql_functions")
+def sql_functions(spark, sf_dir):
+    """The parsers as SQL functions."""
+    from fundlake.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    _w(spark, sf_dir).raw["funding_decisions"].createOrReplaceTempView("landed_decisions")
+    return parity(spark.sql("""SELECT decision_id, parse_any_date(decision_date) AS decision_date,
+                                      money_to_number(approved_amount) AS approved_amount
+                               FROM landed_decisions"""))
+
+
 def _ragged_enrollment_lines(spark, sf_dir) -> DataFrame:
     """Enrollment extract as text lines: every 23rd line lost its last
     field, every 19th has an extra one, every 37th has no id."""
@@ -364,9 +507,16 @@ def landing_rejects(spark, sf_dir):
 
 @register("file_listing")
 def file_listing(spark, sf_dir):
+    """The staged files of an extract, beside the rows they hold (names and
+    sizes depend on the writer and the codec)."""
     path = shared_dir(spark, "landing-listing")
-    _landing.write_landing_csv(_td.raw_funding_decisions(spark, sf_dir), path)
-    return _landing.list_files(spark, path, glob="*.csv.gz").select("file_name", "file_size")
+    raw = _td.raw_funding_decisions(spark, sf_dir)
+    _landing.write_landing_csv(raw.repartition(3), path)
+    files = _landing.list_files(spark, path, glob="*.csv.gz").agg(
+        F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("file_size") > 0).alias("n_with_bytes"))
+    rows = _landing.read_landing(spark, path, _landing.LANDING_SCHEMAS["funding_decisions"]).agg(
+        F.count(F.lit(1))).scalar()
+    return files.withColumn("n_rows", rows)
 
 
 @register("incremental_landing")
@@ -388,6 +538,20 @@ def incremental_landing(spark, sf_dir):
     return spark.read.parquet(table)
 
 
+@register("incremental_ragged")
+def incremental_ragged(spark, sf_dir):
+    """Ragged lines and lines without an id through the incremental path: the
+    same good rows and rejects as the batch reader, flagged by where they went."""
+    from fundlake.streaming.incremental import land_new_files
+    inbox, good, bad, ckpt = (shared_dir(spark, f"ragged-{n}") for n in ("inbox", "good", "rejects", "ckpt"))
+    _ragged_enrollment_lines(spark, sf_dir).write.text(inbox)
+    schema = _landing.LANDING_SCHEMAS["enrollments"]
+    for _ in range(2):               # the second run finds nothing new
+        land_new_files(spark, inbox, schema, good, ckpt, key="enrollment_id", rejects_path=bad, header=False)
+    parts = [spark.read.parquet(p).drop("batch").withColumn("rejected", F.lit(r)) for p, r in ((good, False), (bad, True))]
+    return parts[0].unionByName(parts[1])
+
+
 # ------------------------------------------------------------ snapshots ----
 SNAP_T1, SNAP_T2, SNAP_READ = "2024-01-01 00:00:00", "2024-01-01 01:00:00", "2024-01-01 00:30:00"
 
@@ -400,6 +564,7 @@ def as_of_snapshot(spark, sf_dir):
     fa = _layers(spark, sf_dir).star["fact_applications"]
     path = shared_dir(spark, "snap-fact-applications")
     _snap.write_snapshot(fa, path, SNAP_T1)
+    _snap.write_snapshot(fa, path, SNAP_T1)          # a retried refresh counts once
     later = fa.withColumn("status", F.when(F.col("status") == "Pending", F.lit("Approved"))
                           .otherwise(F.col("status")))
     _snap.write_snapshot(later, path, SNAP_T2)

@@ -68,17 +68,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     (one unsplittable row group or gzip file would otherwise put all the
     work that follows on one task).  The split count is known at planning
     time, so wide inputs pass through untouched - no extra shuffle."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
-        return df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
     return df.repartition(want) if have < want else df
 
 
 def read_landing(spark: SparkSession, path, schema: T.StructType,
                  keep_raw_line: bool = False, min_partitions: int | None = None,
-                 header: bool = True) -> DataFrame:
+                 header: bool = True, multi_line: bool = False) -> DataFrame:
     """Scan CSV file(s) at ``path`` (gzip chosen by suffix) with ``schema``.
 
     * header line skipped, ``"`` quoting with doubled-quote escapes;
@@ -88,6 +85,10 @@ def read_landing(spark: SparkSession, path, schema: T.StructType,
       ``keep_raw_line`` so rejects can be accounted for;
     * null tokens applied to every column.
 
+    ``multi_line``: quoted fields may hold line breaks.  A file is then read
+    by one task from its start (a line break no longer ends a record, so it
+    can't be split); deliver such extracts as many files.
+
     Gzip files are not splittable: one task per file.  ``min_partitions``
     re-spreads such input before the (wide) cleansing work when the scan
     has fewer splits than that (decided at planning time).
@@ -102,6 +103,7 @@ def read_landing(spark: SparkSession, path, schema: T.StructType,
               .option("ignoreLeadingWhiteSpace", True)
               .option("ignoreTrailingWhiteSpace", True)
               .option("mode", "PERMISSIVE")
+              .option("multiLine", multi_line)
               .option("enforceSchema", True))
     if keep_raw_line:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
@@ -155,9 +157,12 @@ def create_layers(spark: SparkSession, layers=("raw", "silver", "star")) -> None
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
 
 
-def load(df: DataFrame, table: str, partition_by=None) -> None:
-    """Bulk load: append rows into a table (created on first load)."""
+def load(df: DataFrame, table: str, partition_by=None, path: str | None = None) -> None:
+    """Bulk load: append rows into a table (created on first load, at ``path``
+    as an external table when one is given)."""
     w = df.write.mode("append")
+    if path:
+        w = w.format("parquet").option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(table)

@@ -13,31 +13,62 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from fundlake.sources.landing import null_tokens
+from fundlake.sources.landing import CORRUPT_COL, null_tokens, split_rejects, with_ragged_flag
 
 
 def landing_stream(spark: SparkSession, folder: str, schema: T.StructType,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(schema)
-              .option("header", True).option("quote", '"').option("escape", '"')
+                   max_files_per_trigger: int | None = None, keep_raw_line: bool = False,
+                   header: bool = True, multi_line: bool = False) -> DataFrame:
+    """The batch reader's rules on a file stream, ragged lines included."""
+    fields = list(schema.fields)
+    if keep_raw_line:
+        fields.append(T.StructField(CORRUPT_COL, T.StringType(), True))
+    reader = (spark.readStream.schema(T.StructType(fields))
+              .option("header", header).option("quote", '"').option("escape", '"')
               .option("ignoreLeadingWhiteSpace", True)
               .option("ignoreTrailingWhiteSpace", True)
+              .option("multiLine", multi_line)
               .option("mode", "PERMISSIVE"))
+    if keep_raw_line:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return null_tokens(reader.csv(folder))
+    return null_tokens(reader.csv(folder), [f.name for f in schema.fields])
 
 
 def land_new_files(spark: SparkSession, folder: str, schema: T.StructType, table_path: str,
-                   checkpoint: str) -> int:
-    """Append every not-yet-landed file in ``folder`` to the parquet table at
-    ``table_path``; returns the number of micro-batches run."""
-    q = (landing_stream(spark, folder, schema)
-         .writeStream.format("parquet")
-         .option("path", table_path)
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
+                   checkpoint: str, key: str | None = None, rejects_path: str | None = None,
+                   header: bool = True, max_files_per_trigger: int | None = None) -> int:
+    """Land every not-yet-landed file in ``folder`` in the parquet table at
+    ``table_path``; returns the number of micro-batches run.
+
+    With ``key``: rows without it are rejects and go to ``rejects_path``, and
+    both tables carry a ``ragged`` flag, as in the batch reader.  Each
+    micro-batch then writes the folder ``batch=<id>`` of either table, in
+    overwrite mode, so a replayed batch replaces itself.
+    """
+    stream = landing_stream(spark, folder, schema, max_files_per_trigger, keep_raw_line=key is not None,
+                            header=header)
+    if key is None:
+        writer = stream.writeStream.format("parquet").option("path", table_path).outputMode("append")
+    else:
+        def land(batch: DataFrame, batch_id: int) -> None:
+            for part, path in zip(split_rejects(batch, key), (table_path, rejects_path)):
+                if path is not None:
+                    with_ragged_flag(part).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        writer = stream.writeStream.foreachBatch(land)
+    before = _batches(spark, checkpoint)
+    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return len(q.recentProgress)
+    return _batches(spark, checkpoint) - before
+
+
+def _batches(spark: SparkSession, checkpoint: str) -> int:
+    """Committed micro-batches of a checkpoint, all of them: batch ids count
+    from 0, and the commit log keeps the newest."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return 0
+    names = [f.getPath().getName() for f in fs.listStatus(p)]
+    return 1 + max([int(n) for n in names if n.isdigit()], default=-1)

@@ -46,6 +46,31 @@ def test_surrogate_key_dense_both_ways(spark):
     assert [k for k, _ in sorted(a.items(), key=lambda kv: kv[1])] == sorted(a)
 
 
+def test_ranged_keys_on_a_wide_frame_without_exchange_reuse(spark):
+    n = 400_000
+    wide = spark.range(n).select(
+        F.format_string("k%08d", (F.col("id") * 7919) % n).alias("k"), F.md5(F.col("id").cast("string")).alias("a"),
+        (F.col("id") % 13).alias("b"), F.col("id").alias("c")).repartition(6, "a")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        out = surrogate_key(wide, "k", "key", ranged_partitions=8)
+        r = out.agg(F.count("*").alias("n"), F.count_distinct("key").alias("d"), F.min("key").alias("lo"),
+                    F.max("key").alias("hi"),
+                    F.sum((F.col("key") != F.substring("k", 2, 8).cast("long") + 1).cast("int")).alias("off")).first()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert tuple(r) == (n, n, 1, n, 0) and out.columns == ["key", "k", "a", "b", "c"]
+
+
+def test_dimensions_of_unknown_size_are_numbered_in_slices(spark):
+    from fundlake.plans import star
+    inst = spark.createDataFrame([(f"INST-{i:03d}", f"n{i}") for i in range(50)], "institution_id string, institution_name string")
+    few = star.dim_institution(inst, max_rows=50)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" in plan
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, star.dim_institution(inst).collect()))
+
+
 def test_conform_keeps_unknown_rows(spark):
     master = spark.createDataFrame([("INST-001", "North College"), ("INST-002", "South U")],
                                    "institution_id string, institution_name string")
@@ -199,3 +224,46 @@ def test_quota_matches_brute_force(spark):
             key = (mon, month.to_timestamp().to_pydatetime())
             want[key] = (best or (None, None, None)) + (float(sum(g.c)),)
     assert got == want
+
+
+def test_quota_with_corrections_within_a_minute(spark):
+    """A level reached and undone inside one minute is still reported, with a
+    whole minute's rows on one timestamp."""
+    from decimal import Decimal as D
+    t = dt.datetime(2024, 1, 1, 0, 5)
+    rows = [(1, "LOAD_WH", t, D("9")), (2, "LOAD_WH", t, D("2")), (3, "LOAD_WH", t, D("-2")),
+            (4, "LOAD_WH", t + dt.timedelta(hours=1), D("0.5"))]
+    mons = spark.createDataFrame([("M", "LOAD_WH", 10.0), ("Z", None, 0.0)], quota.MONITOR_SCHEMA)
+    trig = spark.createDataFrame([("M", 75, "NOTIFY"), ("M", 100, "SUSPEND"), ("Z", 100, "SUSPEND")],
+                                 quota.TRIGGER_SCHEMA)
+    got = {r.monitor: r for r in quota.quota_status(_usage(spark, rows), mons, trig).collect()}
+    assert (got["M"].level_reached, got["M"].action, got["M"].crossed_at) == (100, "SUSPEND", t)
+    assert got["Z"].pct_used is None and got["Z"].crossed_at == t
+
+
+def test_quota_random_corrections_match_brute_force(spark):
+    from decimal import Decimal as D
+    rnd = random.Random(11)
+    t0 = dt.datetime(2024, 3, 1)
+    rows = [(i * 40_000, "LOAD_WH", t0 + dt.timedelta(seconds=rnd.choice([0, 0, 1, 59, 61, 3600]) + 7200 * (i % 5)),
+             D(rnd.randint(-300, 320)) / D(100)) for i in range(300)]
+    mons = spark.createDataFrame([("M", None, 5.0)], quota.MONITOR_SCHEMA)
+    trig = spark.createDataFrame([("M", p, f"A{p}") for p in (10, 60, 120, 250)], quota.TRIGGER_SCHEMA)
+    r = quota.quota_status(_usage(spark, rows), mons, trig).first()
+    run, best = D(0), None
+    first = {}
+    for _, _, ts, c in sorted(rows, key=lambda x: (x[2], x[0])):
+        run += c
+        for p in (10, 60, 120, 250):
+            if float(run) >= 5.0 * p / 100 and p not in first:
+                first[p] = ts
+    best = max(first)
+    assert (r.level_reached, r.action, r.crossed_at) == (best, f"A{best}", first[best])
+
+
+def test_quota_plan_is_lazy_and_doubles_totals_only(spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    usage = _usage(spark, [])
+    df = quota.quota_status(usage, quota.monitors_frame(spark), quota.triggers_frame(spark))
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert df.count() == 0

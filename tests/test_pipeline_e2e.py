@@ -219,8 +219,19 @@ def test_duplicate_master_id_is_refused(spark, tmp_path):
         if name == "institutions":
             text = text + "INST-001,North Plains Again,College,North,Small\n"
         (root / name / f"{name}.csv").write_text(text)
+    out = str(tmp_path / "out")
     with _pytest.raises(ValueError, match="institution_id is not unique"):
-        pipeline.from_landing_folder(spark, str(root), out=str(tmp_path / "out"))
+        pipeline.from_landing_folder(spark, str(root), out=out)
+    assert pipeline.current_run(spark, out) is None
+    # A complete run is switched to; a failed one behind it changes nothing.
+    (root / "institutions" / "institutions.csv").write_text(FILES["institutions"])
+    done = pipeline.from_landing_folder(spark, str(root), out=out)
+    assert pipeline.current_run(spark, out) == done.root
+    (root / "institutions" / "institutions.csv").write_text(
+        FILES["institutions"] + "INST-001,North Plains Again,College,North,Small\n")
+    with _pytest.raises(ValueError, match="institution_id is not unique"):
+        pipeline.from_landing_folder(spark, str(root), out=out)
+    assert pipeline.current_run(spark, out) == done.root
 
 
 def test_cli_with_entitlement_file(spark, landed, tmp_path, capsys):

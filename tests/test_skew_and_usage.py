@@ -23,6 +23,35 @@ def test_flag_orphans_with_null_and_hot_keys(spark):
     assert out.count() == len(rows)
 
 
+def test_a_hot_payment_key_is_split_in_the_final_plan(spark, tmp_path):
+    """A third of the payments on one application, nothing broadcast: AQE
+    splits the hot partition because no aggregate stands in its way."""
+    n = 300_000
+    spark.range(n).select(F.concat(F.lit("A"), F.col("id")).alias("application_id")).write.parquet(str(tmp_path / "p"))
+    spark.range(n).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("A7")).otherwise(F.concat(F.lit("A"), F.col("id"))).alias(
+            "application_id"), F.md5(F.col("id").cast("string")).alias("pad")).write.parquet(str(tmp_path / "c"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = flag_orphans(spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "p")),
+                           "application_id", "orphan", parent_unique=True)
+        rows = out.groupBy("orphan").count()
+        assert {tuple(r) for r in rows.collect()} == {(False, n)}
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+        salted = flag_orphans(spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "p")),
+                              "application_id", "orphan")
+        assert {tuple(r) for r in salted.groupBy("orphan").count().collect()} == {(False, n)}
+        assert "_csalt" in salted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
 def test_dedupe_hot_key(spark):
     rows = [("HOT", f"{i:05d}") for i in range(2000)] + [("B", "x")]
     df = spark.createDataFrame(rows, "id string, d string").repartition(5)
