@@ -50,6 +50,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def hashed_sample(df: DataFrame, h: Column, n: int, name: str = "h") -> DataFrame:
+    """At most ``n`` rows: those with the smallest values of ``h``, one per
+    value.  Only hashes are ordered; rows are picked by comparing with the
+    ``n``-th, so no task sends more than its share of the sample."""
+    last = df.select(h.alias(name)).orderBy(name).limit(n).agg(F.max(name)).first()[0]
+    found = df.withColumn(name, h)
+    return found.where(F.lit(False) if last is None else F.col(name) <= last).dropDuplicates([name])
+
+
 def held_out(id_col: Column) -> Column:
     """The fold kept away from learning: crc32 of the id's text mod 4 is 2.
     A null id is never held out."""

@@ -158,4 +158,35 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_quality_rules": op10_quality_rules}
-ORACLES: dict[str, str] = {}
+
+_W = r"[^\x20\x09-\x0D]"
+_SQL_RATIOS = {
+    "n_words": "n_words", "mean_word_chars": "coalesce(word_chars / nullif(n_words, 0), 0)",
+    "symbols_per_word": "coalesce(n_symbols / nullif(n_words, 0), 0)",
+    "stop_word_share": "coalesce(n_stop / nullif(n_words, 0), 0)",
+    "dup_line_share": "coalesce(n_dup_lines / nullif(n_lines, 0), 0)",
+    "mean_line_chars": "coalesce(line_chars / nullif(n_lines, 0), 0)",
+}
+_SQL_FAILED = ", ".join(
+    f"CASE WHEN {' OR '.join(t for t in (low is not None and f'{_SQL_RATIOS[n]} < {low}', high is not None and f'{_SQL_RATIOS[n]} > {high}') if t)} THEN '{n}' END"
+    for n, low, high in RULES)
+_STOPS = ", ".join(f"'{w}'" for w in STOP_FORMS)
+_ORACLE = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '{_W}+') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_W}')) AS l FROM d),
+windows AS (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM w, unnest(range(1, len(w) - 1)) AS u(i)),
+twice AS (SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) AS v(k) GROUP BY rid),
+c AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST(len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+             len(list_filter(w, lambda x: x IN ({_STOPS}))) AS n_stop, len(l) AS n_lines,
+             len(array_to_string(l, '')) AS line_chars
+      FROM w LEFT JOIN covered USING (rid)),
+f AS (SELECT *, n_words < {BASE_MIN_WORDS} OR 100 * n_repeat_words > {BASE_MAX_REPEAT_PCT} * n_words AS base_failed,
+             concat_ws(',', {_SQL_FAILED}) AS failed_rules FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM f
+"""
+ORACLES = {"op10_quality_rules": _ORACLE}
