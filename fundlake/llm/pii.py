@@ -27,12 +27,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import slices, table
+from fundlake.llm.common import hashed_sample, slices, table
 from fundlake.llm.tagger import KINDS, PAD, Tagger, codes, train
 
 SAMPLE_DOCS = 2000
-WINDOW, OVERLAP = 256, 64
-BATCH_WINDOWS = 1024
+WINDOW, OVERLAP = 512, 48
+BATCH_WINDOWS = 2048
 TRAIN_WINDOW, TRAIN_WINDOWS = 64, 6000
 MIN_MARGIN = 1.0
 
@@ -172,11 +172,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
         max_chars: int = 4000, steps: int = 300) -> Tagger:
     """Train on at most ``sample`` documents' texts (of a longer text, a piece
     of ``max_chars`` from a place given by its hash)."""
-    h = F.xxhash64(F.col(id_col).cast("string"), F.length(F.col(text_col)))
-    room = F.greatest(F.length(F.col(text_col)) - max_chars, F.lit(0)) + 1
-    rows = (docs.where(F.col(text_col).isNotNull())
-            .select(h.alias("h"), F.substr(F.col(text_col), (F.pmod(h, room) + 1).cast("int"), F.lit(max_chars)).alias("t"))
-            .orderBy("h", "t").limit(sample).collect())
+    texts = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
+    h = F.xxhash64(F.col("id").cast("string"), F.length("t"))
+    room = F.greatest(F.length("t") - max_chars, F.lit(0)) + 1
+    rows = (hashed_sample(texts, h, sample)
+            .select("h", F.substr("t", (F.pmod("h", room) + 1).cast("int"), F.lit(max_chars)).alias("t"))
+            .orderBy("h").collect())
     chars, tags = training_windows([r.t for r in rows])
     return train(chars, tags, steps)
 
