@@ -157,7 +157,7 @@ class Grammar:
         for i, t in enumerate(texts):
             found, n = self.clauses(t)
             if found:
-                out[i] = (math.log1p(sum(found)), max(found), math.log1p(len(found)), min(1, 20 * len(found) / n))
+                out[i] = (math.log1p(sum(found)), math.log1p(max(found)), math.log1p(len(found)), min(1, 20 * len(found) / n))
         return out
 
     def score(self, measures: np.ndarray) -> np.ndarray:

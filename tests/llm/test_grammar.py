@@ -3,16 +3,16 @@ import numpy as np
 from fundlake.llm import grammar as g
 from tests.llm.helpers import documents, labels
 
-SF01 = "/root/testdata/sf0.01"
+SF1 = "/root/testdata/sf0.1"          # enough toxic documents of every language to learn from
 
 
 def test_held_out_accuracy(spark):
-    out = g.op9_toxicity_grammar(spark, SF01).join(spark.read.parquet(f"{SF01}/labels.parquet"), "doc_id").collect()
+    out = g.op9_toxicity_grammar(spark, SF1).join(spark.read.parquet(f"{SF1}/labels.parquet"), "doc_id").collect()
     test = [r for r in out if r.held_out]
     assert test and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in out)
     toxic = [r.predicted for r in test if r.toxic == 1]
     clean = [r.predicted for r in test if r.toxic == 0]
-    assert np.mean(toxic) >= 0.75 and np.mean(clean) <= 0.03
+    assert np.mean(toxic) >= 0.9 and np.mean(clean) <= 0.02
 
 
 def total(text):
