@@ -55,6 +55,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def by_place(span: tuple[int, int, int]) -> tuple[int, int]:
+    """Spans are listed by start, then by kind."""
+    return span[0], span[2]
+
+
 def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -85,7 +90,7 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
         for m in _PHONE.finditer(text):
             if 9 <= len(digits_of(m.group())) <= 15:
                 found.append((*m.span(), 3))
-    return sorted(found)
+    return sorted(found, key=by_place)
 
 
 def named(spans: list[tuple[int, int, int]]) -> str:
@@ -279,7 +284,7 @@ def all_spans(texts: list[str | None], model: Tagger) -> list[tuple[list, list]]
                 z -= 1
             if z > a and plausible(text[a:z], k) and all(z <= x or a >= y for x, y, _ in held):
                 held.append((a, z, k))
-        out.append((base, sorted(held)))
+        out.append((base, sorted(held, key=by_place)))
     return out
 
 
