@@ -29,9 +29,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import per_worker, table
+from fundlake.llm.common import give_back, per_worker, small_batches, table
 
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 5120
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 # The splitter's contractions and white space.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -129,22 +129,29 @@ def _distinct(texts, parts: int):
     the first word of each text."""
     import pyarrow as pa
     import pyarrow.compute as pc
-    words, first = split_words(texts)
-    coded = words.dictionary_encode()
+    split, first = [], [np.zeros(1, np.int64)]
+    for a in range(0, len(texts), 1024):
+        words, at = split_words(texts.slice(a, 1024))
+        split.append(words)
+        first.append(at[1:] + first[-1][-1])
+    coded = pa.chunked_array(split, pa.string()).dictionary_encode().combine_chunks()
+    coded = coded.chunk(0) if isinstance(coded, pa.ChunkedArray) and coded.num_chunks else coded
+    if not len(coded):
+        return [], np.zeros(0, np.int64), np.zeros(0, np.int32), np.concatenate(first)
     own = coded.dictionary.cast(pa.binary())
     order = pc.sort_indices(own).to_numpy()
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order))
     own = own.take(pa.array(order))
     listed = own.to_pylist()
     part = np.fromiter(map(crc32, listed), np.int64, len(listed)) % parts
-    return listed, part, rank[coded.indices.to_numpy()], first
+    return listed, part, rank[coded.indices.to_numpy()], np.concatenate(first)
 
 
 def _pack(words: list[bytes]) -> bytes:
     import zstandard
     sizes = np.fromiter(map(len, words), np.uint32, len(words))
-    return len(words).to_bytes(4, "little") + zstandard.compress(sizes.tobytes() + b"".join(words), 3)
+    return len(words).to_bytes(4, "little") + zstandard.compress(sizes.tobytes() + b"".join(words), 6)
 
 
 def _unpack(packed: bytes) -> list[bytes]:
@@ -195,6 +202,7 @@ def block_words(docs: DataFrame, parts: int) -> DataFrame:
                     held.append(b.column(1).slice(a, z - a))
         if held:
             yield from flush()
+        give_back()
 
     # The id is not used here; with it the shuffled rows are those that the
     # join reads, and Spark shuffles the texts once for both.
@@ -225,7 +233,7 @@ def word_table(chunks: DataFrame, path: str, parts: int) -> DataFrame:
                 ids = [known[w] for w in words]
                 sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
                 flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-                raw = zstandard.compress(sizes.tobytes() + flat.view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+                raw = zstandard.compress(sizes.tobytes() + flat.view(np.uint8).reshape(-1, 4).T.tobytes(), 6)
                 yield pa.RecordBatch.from_pydict(
                     {"block": pa.array([block], pa.int64()), "part": pa.array([p], pa.int32()),
                      "n": pa.array([len(words)], pa.int32()), "ids": pa.array([raw], pa.binary())})
@@ -235,10 +243,16 @@ def word_table(chunks: DataFrame, path: str, parts: int) -> DataFrame:
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           path: str | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(id, ids): the ids of every row's whole text."""
+           path: str | None = None, block_rows: int = BLOCK_ROWS, finish=None,
+           columns: str = "ids array<int>") -> DataFrame:
+    """(id, ids): the ids of every row's whole text.
+
+    ``finish(ids, path)`` turns some rows' ids (an Arrow list array) into other
+    ``columns`` where they are made, for callers that need only figures of
+    them.
+    """
     path = path or default_path()
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(shuffled, -(-docs.count() // block_rows))
@@ -264,6 +278,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             sizes[own] = np.frombuffer(raw, np.uint32, n)
             total = int(sizes[own].sum())
             flats[p] = np.frombuffer(raw, np.uint8, 4 * total, 4 * n).reshape(4, total).T.copy().view(np.uint32)[:, 0]
+        del listed
         starts = np.concatenate([[0], np.cumsum(sizes)])
         flat = np.zeros(starts[-1], np.int32)
         for p, ids in flats.items():
@@ -274,10 +289,16 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ends = np.concatenate([[0], np.cumsum(sizes[index])])[first]
         out = per_word.take(pa.array(index)).flatten() if len(index) else pa.array([], pa.int32())
         ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), out)
-        return pa.Table.from_arrays([left.column("id"), ids], ["id", "ids"])
-
+        del texts, index, per_word, flats
+        give_back()
+        if finish is None:
+            return pa.Table.from_arrays([left.column("id"), ids], names)
+        made = [finish(ids.slice(a, 512), path) for a in range(0, max(len(ids), 1), 512)]
+        return pa.Table.from_arrays([left.column("id"), *map(pa.chunked_array, zip(*made))], names)
+
+    names = ["id", *(c.split()[0] for c in columns.split(", "))]
     return dealt.groupBy("block").cogroup(coded.groupBy("block")) \
-        .applyInArrow(join_back, f"id {kind}, ids array<int>")
+        .applyInArrow(join_back, f"id {kind}, {columns}")
 
 
 def pieces(path: str) -> tuple[bytes, ...]:
@@ -299,9 +320,15 @@ def _piece_array(path: str):
     return per_worker(("pieces", path), lambda: pa.array(pieces(path), pa.large_binary()))
 
 
-def decode_lists(ids, path: str) -> list[bytes]:
-    """Arrow list array of ids -> the bytes of each row's pieces."""
-    joined = _piece_array(path).take(ids.flatten())
+def _decimal_array(path: str):
+    import pyarrow as pa
+    return per_worker(("decimals", path), lambda: pa.array(
+        [b"%d," % i for i in range(_tokenizer(path).get_vocab_size())], pa.large_binary()))
+
+
+def joined_rows(ids, table) -> list[bytes]:
+    """Arrow list array of ids -> each row's entries of ``table``, joined."""
+    joined = table.take(ids.flatten())
     at = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1, joined.offset * 8) if len(joined) \
         else np.zeros(1, np.int64)
     data = memoryview(joined.buffers()[2]) if len(joined) else memoryview(b"")
@@ -322,41 +349,29 @@ def decode(encoded: DataFrame, id_col: str = "id", ids_col: str = "ids",
             for a in range(0, b.num_rows, 512):
                 x = b.slice(a, 512)
                 ids = x.column(1)
-                texts = [t.decode("utf-8", "replace") for t in decode_lists(ids, path)]
+                texts = [t.decode("utf-8", "replace") for t in joined_rows(ids, _piece_array(path))]
                 yield pa.RecordBatch.from_arrays([x.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
     return encoded.select(F.col(id_col).alias("id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>"))
                           .alias("ids")).mapInArrow(run, f"id {kind}, text string")
 
 
-def digests(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of ``encode``'s rows."""
-    path = path or default_path()
-    kind = encoded.schema["id"].dataType.simpleString()
+DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
-    def run(batches):
-        import pyarrow as pa
-        sha = hashlib.sha256
-        for b in batches:
-            for a in range(0, b.num_rows, 512):
-                x = b.slice(a, 512)
-                ids = x.column(1)
-                told = [t.decode("utf-8", "replace").encode() for t in decode_lists(ids, path)]
-                n = np.diff(ids.offsets.to_numpy())
-                ends = np.concatenate([[0], np.cumsum(n)])
-                text = ids.flatten().cast(pa.string())
-                data = text.to_pylist()
-                yield pa.RecordBatch.from_arrays([
-                    x.column(0), pa.array(n.astype(np.int64)),
-                    pa.array([sha(",".join(data[i:j]).encode()).hexdigest() for i, j in zip(ends, ends[1:])]),
-                    pa.array([sha(t).hexdigest() for t in told])],
-                    ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return encoded.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def digests(ids, path: str):
+    """The ``DIGESTS`` columns of some rows' ids; the text is decoded from them."""
+    import pyarrow as pa
+    sha = hashlib.sha256
+    told = [t.decode("utf-8", "replace").encode() for t in joined_rows(ids, _piece_array(path))]
+    return (pa.array(np.diff(ids.offsets.to_numpy()).astype(np.int64)),
+            pa.array([sha(d[:-1]).hexdigest() for d in joined_rows(ids, _decimal_array(path))], pa.string()),
+            pa.array([sha(t).hexdigest() for t in told], pa.string()))
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(encode(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+    docs = table(spark, sf_dir, "documents")
+    return encode(docs, finish=digests, columns=DIGESTS).withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {"op8_bpe": op8_bpe}

@@ -65,6 +65,35 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+BATCH_ROWS = 1024
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with at most ``BATCH_ROWS`` of its rows sent to Python at once.
+
+    Texts are long: Spark's 10,000 rows would be tens of MB on both sides of
+    each pipe.  The session keeps the setting, as plans read it when they run.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
+def give_back() -> None:
+    """Return freed memory of a Python worker to the system: workers stay for
+    the next task, and several share an executor's memory."""
+    import ctypes
+    import sys
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def per_worker(key, make: Callable):
     """``make()`` once for each Python process: tables that tasks share.
 
@@ -80,7 +109,8 @@ def per_worker(key, make: Callable):
 
 def slices(batches, rows: int = 512, chars: int = 4_000_000):
     """Cut Arrow batches into pieces of bounded rows and text bytes, so that
-    a task's memory does not follow the batch size or a run of long texts."""
+    a task's memory does not follow the batch size or a run of long texts.
+    Freed memory is given back when the task's rows end."""
     for batch in batches:
         start, size = 0, 0
         sizes = [0] * batch.num_rows
@@ -97,3 +127,4 @@ def slices(batches, rows: int = 512, chars: int = 4_000_000):
             size += n
         if batch.num_rows > start:
             yield batch.slice(start)
+    give_back()
