@@ -89,19 +89,26 @@ def spread_out(unit: np.ndarray, max_cosine: float = MAX_PIVOT_COSINE) -> np.nda
     return unit[kept]
 
 
+def stored_as(vectors: DataFrame, vec_col: str) -> str:
+    """The numpy type that holds the column's components exactly."""
+    return "<f4" if vectors.schema[vec_col].dataType.elementType.typeName() == "float" else "<f8"
+
+
 def permutations(vectors: DataFrame, pivots: np.ndarray, id_col: str, vec_col: str, label_col: str,
                  nearest: int = NEAREST) -> DataFrame:
-    """(row, id, label, x, near): a key for the row, the unit vector as bytes
-    and the ordered nearest pivots; both null where the row can't link."""
+    """(row, id, label, x, near): a key for the row, the vector's bytes as it
+    was given and the ordered nearest pivots; both null where the row can't
+    link."""
     kind = vectors.schema[id_col].dataType.simpleString()
     label = vectors.schema[label_col].dataType.simpleString()
-    dim = pivots.shape[1]
+    dim, dtype = pivots.shape[1], stored_as(vectors, vec_col)
     k = min(nearest, len(pivots))
 
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            unit, ok = unit_rows(b.column(1).to_pylist(), dim)
+            given = b.column(1).to_pylist()
+            unit, ok = unit_rows(given, dim)
             near = np.zeros((len(unit), k), np.int32)
             for a in range(0, len(unit) if k else 0, 2048):
                 d = unit[a:a + 2048] @ pivots.T
@@ -111,7 +118,8 @@ def permutations(vectors: DataFrame, pivots: np.ndarray, id_col: str, vec_col: s
             ok &= b.column(2).is_valid().to_numpy(zero_copy_only=False) & (k > 0)
             yield pa.RecordBatch.from_arrays([
                 b.column(0), b.column(2),
-                pa.array([unit[i].tobytes() if ok[i] else None for i in range(len(ok))], pa.binary()),
+                pa.array([np.array(given[i], dtype).tobytes() if ok[i] else None for i in range(len(ok))],
+                         pa.binary()),
                 pa.array([near[i].tolist() if ok[i] else None for i in range(len(ok))], pa.list_(pa.int32()))],
                 ["id", "label", "x", "near"])
 
@@ -166,13 +174,20 @@ def walk(x: np.ndarray, near: np.ndarray, pivot: int, side: np.ndarray | None, m
     return links, np.array(left, np.int64), np.array(right, np.int64)
 
 
-def compare(index: DataFrame, min_cosine: float = MIN_COSINE, shared: int = SHARED,
+def compare(index: DataFrame, dtype: str, min_cosine: float = MIN_COSINE, shared: int = SHARED,
             block: int = BLOCK) -> DataFrame:
-    """(row, n, other): link counts (other is null) and spanning links (n is 0)."""
+    """(row, n, other): link counts (other is null) and spanning links (n is 0).
+
+    ``index``: the written rows of ``permutations``.  Only the lists over
+    ``block`` vectors are joined back (they are few, and written, so the
+    planner knows their size); every vector travels once for each of its lists.
+    """
+    lists = index.where("x is not null").select("label", F.explode("near").alias("pivot"))
+    large = written(lists.groupBy("label", "pivot").agg(F.count("*").alias("size")).where(F.col("size") > block),
+                    "pivot-large-lists")
     keyed = index.where("x is not null").select("row", "label", "x", "near", F.explode("near").alias("pivot"))
-    sizes = keyed.groupBy("label", "pivot").agg(F.count("*").alias("size")).where("size > 1")
-    dealt = keyed.join(sizes, ["label", "pivot"]).withColumn(
-        "parts", F.ceil(F.col("size") / block).cast("int"))
+    dealt = keyed.join(large, ["label", "pivot"], "left").withColumn(
+        "parts", F.coalesce(F.ceil(F.col("size") / block).cast("int"), F.lit(1)))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "label", "pivot", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"),
@@ -183,7 +198,9 @@ def compare(index: DataFrame, min_cosine: float = MIN_COSINE, shared: int = SHAR
         for group in runs_of(batches, ["label", "pivot", "a", "b"]):
             group = group.combine_chunks()
             rows = group.column("row").to_numpy()
-            x = np.frombuffer(b"".join(group.column("x").to_pylist()), np.float64).reshape(len(rows), -1)
+            x = np.frombuffer(b"".join(group.column("x").to_pylist()), dtype).reshape(len(rows), -1).astype(np.float64)
+            x /= np.abs(x).max(axis=1, keepdims=True)
+            x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
             near = np.array(group.column("near").to_pylist(), np.int64)
             a, b = group.column("a")[0].as_py(), group.column("b")[0].as_py()
             side = None if a == b else group.column("mine").to_numpy()
@@ -205,7 +222,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     """(id, n_links, component_id, kept): one row per input row."""
     pivots = fit_pivots(vectors, vec_col, vectors.count())
     index = written(permutations(vectors, pivots, id_col, vec_col, label_col, nearest), "pivot-index")
-    found = written(compare(index, min_cosine, shared, block), "pivot-links")
+    found = written(compare(index, stored_as(vectors, vec_col), min_cosine, shared, block), "pivot-links")
     counts = found.where("other is null").groupBy("row").agg(F.sum("n").alias("n_links"))
     roots = components(found.where("other is not null").select(F.col("row").alias("u"), F.col("other").alias("v")))
     named = index.select("row", "id").join(roots, F.col("row") == F.col("node")).select("row", "id", "root")
