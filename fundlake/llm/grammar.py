@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import held_out, slices, table, written
+from fundlake.llm.common import held_out, slices, small_batches, table, written
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 8000, 16000
 MAX_STEMS = 4000
@@ -255,7 +255,7 @@ def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: s
                 [b.column(0), pa.array(grammar.score(m)), pa.array(np.rint(np.expm1(m[:, 2])).astype(np.int64))],
                 ["id", "score", "n_clauses"])
 
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return (small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, f"id {kind}, score double, n_clauses long")
             .select("id", held_out(F.col("id")).alias("held_out"), "score",
                     (F.col("score") >= accept).cast("int").alias("predicted"), "n_clauses"))

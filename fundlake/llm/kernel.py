@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import held_out, slices, table, written
+from fundlake.llm.common import held_out, slices, small_batches, table, written
 
 N_FEATURES = 192
 RIDGE = 1e-3
@@ -113,7 +113,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(s), pa.list_(pa.float64()))],
                                              ["id", "stats"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
         .mapInArrow(run, f"id {kind}, stats array<double>")
 
 

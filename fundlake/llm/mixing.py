@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import fresh, slices, table, written
+from fundlake.llm.common import fresh, slices, small_batches, table, written
 
 SAMPLE = 4000
 MAX_STEPS, TOLERANCE = 60, 1e-3
@@ -147,7 +147,7 @@ def posteriors(docs: DataFrame, mixer: Mixer, id_col: str = "doc_id", text_col:
                 [b.column(0), pa.array(words), pa.array(list(mixer.posteriors(x)), pa.list_(pa.float64()))],
                 ["id", "tokens", "p"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
         .mapInArrow(run, f"id {kind}, tokens long, p array<double>")
 
 

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import hashed_sample, slices, table
+from fundlake.llm.common import hashed_sample, slices, small_batches, table
 from fundlake.llm.tagger import KINDS, PAD, Tagger, codes, train
 
 SAMPLE_DOCS = 2000
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
         max_chars: int = 4000, steps: int = 300) -> Tagger:
     """Train on at most ``sample`` documents' texts (of a longer text, a piece
     of ``max_chars`` from a place given by its hash)."""
-    texts = docs.where(F.col(text_col).isNotNull()).select(
+    texts = small_batches(docs).where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
     h = F.xxhash64(F.col("id").cast("string"), F.length("t"))
     room = F.greatest(F.length("t") - max_chars, F.lit(0)) + 1
@@ -302,7 +302,7 @@ def find(docs: DataFrame, model: Tagger, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["id", "base", "spans"])
 
     span = "array<struct<start:int,end:int,kind:string>>"
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
         .mapInArrow(run, f"id {kind}, base {span}, spans {span}")
 
 

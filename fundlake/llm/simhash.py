@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import fresh, slices, table, written
+from fundlake.llm.common import fresh, slices, small_batches, table, written
 from fundlake.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -94,7 +94,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = majority([shingle_hashes(t, shingle_words) for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
         .mapInArrow(run, f"id {kind}, fp long")
 
 

@@ -78,7 +78,10 @@ class Tagger:
             np.matmul(h[:, 0], self.out, out=e[:, t])
             if keep is not None:
                 keep[-1] += (h.copy(), c.copy())
-        return e[0] + e[1, ::-1] + self.bias
+        out = e[0]
+        out += e[1, ::-1]
+        out += self.bias
+        return out
 
     def decode(self, e: np.ndarray) -> np.ndarray:
         """Most likely tags (T, N).
