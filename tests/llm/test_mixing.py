@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from fundlake.llm import mixing
@@ -67,3 +68,31 @@ def test_odd_rows_no_labels_and_empty_table(spark):
     assert rated.count() == df.count()
     mixer, rated = mixing.fit(df.limit(0), none, mixing.TARGETS)
     assert rated.count() == 0 and mixing.mix(df.limit(0), mixer).count() == 0
+
+
+def skewed(spark, shares, n=4000):
+    rng = np.random.default_rng(5)
+    y, t = rng.choice(4, n, p=shares), rng.integers(1, 500, n)
+    p = np.full((n, 4), 0.02 / 3)
+    p[np.arange(n), y] = 0.98
+    return p, t, spark.createDataFrame([(i, int(t[i]), p[i].tolist()) for i in range(n)],
+                                       "id long, tokens long, p array<double>")
+
+
+def test_defaults_reach_targets_whatever_the_shares(spark):
+    want = np.array(list(mixing.TARGETS.values()))
+    for shares in ([0.9, 0.06, 0.03, 0.01], [0.97, 0.015, 0.01, 0.005]):
+        p, t, df = skewed(spark, shares)
+        mixer = mixing.Mixer(tuple(mixing.TARGETS), None)
+        r = np.array([x.rate for x in sorted(mixing.fit_rates(df, mixer, mixing.TARGETS).collect(), key=lambda x: x.id)])
+        total = (r * t) @ p
+        assert (r >= 0).all() and np.allclose(mixer.rates(p), r)
+        assert np.abs(total / total.sum() - want).max() <= 2 * mixing.TOLERANCE and mixer.missed <= mixing.TOLERANCE
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    df = spark.createDataFrame([(i, 10, [1.0, 0.0, 0.0, 0.0]) for i in range(50)], "id long, tokens long, p array<double>")
+    mixer = mixing.Mixer(tuple(mixing.TARGETS), None)
+    with pytest.warns(UserWarning, match="misses its targets"):
+        rated = mixing.fit_rates(df, mixer, mixing.TARGETS)
+    assert mixer.missed > 0.1 and all(0 < r.rate < 10 for r in rated.collect())
