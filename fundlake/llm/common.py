@@ -53,8 +53,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def hashed_sample(df: DataFrame, h: Column, n: int, name: str = "h") -> DataFrame:
     """At most ``n`` rows: those with the smallest values of ``h``, one per
     value.  Only hashes are ordered; rows are picked by comparing with the
-    ``n``-th, so no task sends more than its share of the sample."""
-    last = df.select(h.alias(name)).orderBy(name).limit(n).agg(F.max(name)).first()[0]
+    ``n``-th, so no task sends more than its share of the sample.  Where
+    values repeat among the smallest, distinct ones are ordered instead."""
+    hashes = df.select(h.alias(name))
+    last, rows, values = hashes.orderBy(name).limit(n).agg(
+        F.max(name), F.count(name), F.countDistinct(name)).first()
+    if rows == n > values:
+        last = hashes.distinct().orderBy(name).limit(n).agg(F.max(name)).first()[0]
     found = df.withColumn(name, h)
     return found.where(F.lit(False) if last is None else F.col(name) <= last).dropDuplicates([name])
 

@@ -4,8 +4,9 @@ Pivots are vectors drawn from a bounded sample.  Every vector is described by
 its ``nearest`` closest pivots, in order.  An inverted list is kept for each
 ordered pair of leading pivots' first member, that is for each (label, pivot):
 it holds the vectors that have the pivot among their ``nearest``.  Two vectors
-are candidates when they meet in a list and share at least ``shared`` pivots;
-candidates are verified by cosine in double precision.
+are candidates when they meet in a list and share at least ``shared`` pivots,
+or all where there are fewer; candidates are verified by cosine in double
+precision.
 
 A pair may meet in several lists; it is counted only in the list of the
 smallest pivot that both vectors hold, which either side can tell by itself.
@@ -16,7 +17,10 @@ and a spanning forest of the links.
 
 The number of pivots follows the square root of the number of vectors, from
 ``min_pivots`` to ``max_pivots`` (a bound on what is broadcast:
-``max_pivots`` vectors).
+``max_pivots`` vectors).  Pivots closer than ``MAX_PIVOT_COSINE`` are thinned
+out, so vectors that share a direction may leave few.  With up to
+2 x ``nearest`` - ``shared`` pivots every two vectors of a label are
+candidates: no link is missed, but the work grows with the square of a label.
 
 Defined cases: a vector that is null, zero, of another length than most
 sampled vectors, or that holds a null, NaN or infinite component links with
@@ -64,10 +68,11 @@ def unit_rows(vectors, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_pivots(vectors: DataFrame, vec_col: str, n_rows: int, min_pivots: int = MIN_PIVOTS,
                max_pivots: int = MAX_PIVOTS) -> np.ndarray:
-    """Unit pivots: the sampled vectors with the smallest hashes, at most
-    ``max_pivots`` rows on the driver."""
+    """Unit pivots: the usable sampled vectors with the smallest hashes, no
+    two equal, at most ``max_pivots`` rows on the driver."""
     n = min(max_pivots, max(min_pivots, int(4 * math.sqrt(max(n_rows, 1)))))
-    known = vectors.where(F.col(vec_col).isNotNull()).select(F.col(vec_col).alias("v"))
+    known = vectors.select(F.col(vec_col).alias("v")).where(
+        F.forall("v", lambda c: F.abs(c.cast("double")) < float("inf")) & F.exists("v", lambda c: c != 0))
     rows = hashed_sample(known, F.xxhash64("v", F.lit(7)), n).orderBy("h").collect()
     if not rows:
         return np.zeros((0, 1))
@@ -221,6 +226,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                     shared: int = SHARED, block: int = BLOCK) -> DataFrame:
     """(id, n_links, component_id, kept): one row per input row."""
     pivots = fit_pivots(vectors, vec_col, vectors.count())
+    shared = min(shared, nearest, max(1, len(pivots)))
     index = written(permutations(vectors, pivots, id_col, vec_col, label_col, nearest), "pivot-index")
     found = written(compare(index, stored_as(vectors, vec_col), min_cosine, shared, block), "pivot-links")
     counts = found.where("other is null").groupBy("row").agg(F.sum("n").alias("n_links"))

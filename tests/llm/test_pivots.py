@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from fundlake.llm import pivots
 
@@ -70,3 +71,34 @@ def test_empty_table_and_clashing_columns(spark):
     assert pivots.near_duplicates(table(spark, [])).count() == 0
     df = table(spark, random_rows(30)).selectExpr("*", "1 as id", "2 as row", "3 as near", "4 as n_links")
     assert pivots.near_duplicates(df).count() == 30
+
+
+def whole(spark, rows):
+    want = {i: n for i, n, _ in brute(rows)}
+    assert {r.id: r.n_links for r in pivots.near_duplicates(table(spark, rows)).collect()} == want and max(want.values())
+
+
+def test_two_equal_rows_and_one_cluster(spark):
+    v = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0]
+    whole(spark, [(1, v, 0), (2, v, 0)])
+    rng = np.random.default_rng(7)
+    whole(spark, [(i, [float(np.float32(c)) for c in np.array(v) + 0.3 * rng.normal(size=8)], i % 2) for i in range(60)])
+
+
+def test_vectors_with_a_common_mean(spark):
+    rng = np.random.default_rng(8)
+    for mean in (2.0, 6.0):
+        base = rng.normal(size=(60, 8)) + mean
+        whole(spark, [(i, [float(np.float32(c)) for c in base[i % 60] + 0.02 * rng.normal(size=8)], 0) for i in range(120)])
+
+
+def test_copies_take_no_place_in_the_sample(spark):
+    rng = np.random.default_rng(9)
+    spread = [[float(np.float32(c)) for c in rng.normal(size=8)] for _ in range(40)]
+    df = spark.createDataFrame([(v,) for v in spread], "v array<float>")
+    first = df.orderBy(F.xxhash64("v", F.lit(7))).first().v
+    rows = [(i, first, 0) for i in range(200)] + [(200 + i, v, 0) for i, v in enumerate(spread + spread)]
+    sampled = pivots.hashed_sample(table(spark, rows), F.xxhash64("embedding", F.lit(7)), 30)
+    assert sampled.count() == 30
+    assert len(pivots.fit_pivots(table(spark, rows), "embedding", len(rows))) > 6
+    whole(spark, rows)
