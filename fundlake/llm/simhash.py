@@ -187,31 +187,44 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> Dat
     return dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "u long, v long")
 
 
+def rooted(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``nodes`` with the root of each fingerprint's component."""
+    roots = components(links(nodes, max_bits)).select(F.col("node").alias("fp"), "root")
+    return nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """(id, fp, component): one row per input row; ``component`` is the
     smallest id reachable over links, the row's own included."""
     fps = written(fingerprints(docs, id_col, text_col, shingle_words), "simhash-fp")
     nodes = written(fps.groupBy("fp").agg(F.min("id").alias("low")), "simhash-nodes")
-    roots = components(links(nodes, max_bits)).select(F.col("node").alias("fp"), "root")
-    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component"))
-    named = rooted.select("fp", "root").join(lows, "root").select("fp", "component")
+    found = rooted(nodes, max_bits)
+    lows = found.groupBy("root").agg(F.min("low").alias("component"))
+    named = found.select("fp", "root").join(lows, "root").select("fp", "component")
     return fps.join(named, "fp").select("id", "fp", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of one document of each component, all columns kept.
+    """One row of each component, all columns kept.
 
-    The document with the smallest id stays; of rows that repeat that id one
-    stays.  Rows with a null id stay (they can't be told apart by id).
+    Of a component's rows that with the smallest id stays, and of those the one
+    with the smallest text hash: rows are told apart by id and text, so an
+    id that repeats in several components stays in each of them.  Rows with a
+    null id are deduplicated among themselves: one stays for each component.
     """
-    low, = fresh(docs, "component")
-    kept = (near_duplicates(docs, id_col, text_col, shingle_words, max_bits)
-            .where("id = component").select(F.col("id").alias(low)).distinct())
-    named = docs.join(kept, docs[id_col] == kept[low], "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    row, = fresh(docs, "row_key")
+    keyed = docs.withColumn(row, F.struct(F.col(id_col).alias("id"),
+                                          F.xxhash64(F.col(text_col).cast("string")).alias("h")))
+    fps = written(fingerprints(keyed, row, text_col, shingle_words), "simhash-fp")
+    named = F.col("id.id").isNotNull()
+    nodes = written(fps.groupBy("fp").agg(F.min(F.when(named, F.col("id"))).alias("low"),
+                                          F.min(F.when(~named, F.col("id"))).alias("bare")), "simhash-nodes")
+    best = rooted(nodes, max_bits).groupBy("root").agg(F.min("low").alias("low"), F.min("bare").alias("bare"))
+    kept = best.select(F.explode(F.array("low", "bare")).alias("kept_key")).where("kept_key is not null")
+    # One key for both, so that texts are shuffled once; structs are equal where their null ids are.
+    return keyed.join(kept, keyed[row] == kept["kept_key"], "left_semi").dropDuplicates([row]).select(*docs.columns)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

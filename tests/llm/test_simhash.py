@@ -98,3 +98,12 @@ def test_long_chain_settles(spark):
     got = {r.node: r.root for r in graph.components(df).collect()}
     assert got == {i: 0 for i in range(201)}
     assert graph.components(df.limit(0)).count() == 0
+
+
+def test_repeated_and_null_ids_lose_no_text_and_leave_no_copies(spark):
+    rng = np.random.default_rng(6)
+    a, b, c, d = (" ".join(f"w{v}" for v in rng.integers(0, 10_000, 60)) for _ in range(4))
+    rows = [(5, a), (5, b), (6, b), (5, a), (7, c), (None, d), (None, d), (None, d + " "), (None, c), (None, c)]
+    kept = simhash.keep_one(documents(spark, rows))
+    assert sorted(((r.doc_id, r.text.strip()) for r in kept.collect()), key=str) == sorted(
+        [(5, a), (5, b), (7, c), (None, c), (None, d)], key=str)
