@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +86,19 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Inside, writes send at most ``rows`` rows to Python at once; the session's
+    own setting is back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def give_back() -> None:
     """Return freed memory of a Python worker to the system: workers stay for
     the next task, and several share an executor's memory."""
