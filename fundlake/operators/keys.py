@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from fundlake.session import shared_dir
+from fundlake.operators.slices import PLACE, SLICE, carried, sliced
 
 
 def surrogate_key(df: DataFrame, order, name: str, ranged_partitions: int | None = None
@@ -30,20 +29,8 @@ def surrogate_key(df: DataFrame, order, name: str, ranged_partitions: int | None
         w = Window.orderBy(*spec)
         return df.select(F.row_number().over(w).cast("bigint").alias(name), *df.columns)
 
-    # monotonically_increasing_id counts a partition's rows in order in its
-    # low 33 bits, so the place in the slice needs no second shuffle.
-    path = shared_dir(df.sparkSession, "surrogate-key")
-    (df.repartitionByRange(ranged_partitions, *spec).sortWithinPartitions(*spec)
-       .select("*", F.spark_partition_id().alias("_slice"),
-               (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("_place"))
-       .write.parquet(path))
-    schema = T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType()),
-                           T.StructField("_place", T.LongType())])
-    sliced = df.sparkSession.read.schema(schema).parquet(path)
-    sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_slice",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_slice").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-    out = sliced.join(F.broadcast(offsets), "_slice")  # n rows: bounded by n
-    return out.select((F.col("_offset") + F.col("_place")).cast("bigint").alias(name), *df.columns)
+    parts = sliced(df, spec, ranged_partitions, "surrogate-key")
+    sizes = parts.rows.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = carried(sizes, "_n", "_offset").drop("_n")
+    out = parts.rows.join(F.broadcast(offsets), SLICE)  # n rows: bounded by n
+    return out.select((F.col("_offset") + F.col(PLACE)).cast("bigint").alias(name), *df.columns)

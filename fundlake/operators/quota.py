@@ -10,8 +10,9 @@ one range of ids first, then rows - so neither an account-wide monitor nor a
 bulk load with a single timestamp lands in one task.
 
 Credits may be negative (corrections): a level reached and undone again is
-still found, at the row that first reached it.  The plan is lazy and leaves
-every join to the planner.
+still found, at the row that first reached it.  The plan of ``quota_status`` is
+lazy and leaves every join to the planner; ``quota_walk`` gives the same rows
+from one written, ordered copy of the log, which is read once.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundlake.operators.slices import SLICE, carried, sliced
+
 # Monitors and their triggers (percent of quota -> action).
 # warehouse None = account-wide monitor covering every warehouse.
 MONITORS = (
@@ -47,12 +50,21 @@ MONITOR_SCHEMA = "monitor string, warehouse_name string, quota double"
 TRIGGER_SCHEMA = "monitor string, level int, action string"
 
 
+def _config(spark, rows, schema: str) -> DataFrame:
+    """A few literal rows as a local relation, whose size the planner knows."""
+    import pyarrow as pa
+    types = {"string": pa.string(), "double": pa.float64(), "int": pa.int32()}
+    columns = [c.split() for c in schema.split(", ")]
+    values = list(zip(*rows)) or [()] * len(columns)
+    return spark.createDataFrame(pa.table({c: pa.array(v, types[t]) for (c, t), v in zip(columns, values)}), schema)
+
+
 def monitors_frame(spark, monitors=MONITORS) -> DataFrame:
-    return spark.createDataFrame(list(monitors), MONITOR_SCHEMA)
+    return _config(spark, monitors, MONITOR_SCHEMA)
 
 
 def triggers_frame(spark, triggers=TRIGGERS) -> DataFrame:
-    return spark.createDataFrame(list(triggers), TRIGGER_SCHEMA)
+    return _config(spark, triggers, TRIGGER_SCHEMA)
 
 
 # Ids that share a piece of a large minute.
@@ -130,6 +142,58 @@ def quota_status(usage: DataFrame, monitors: DataFrame, triggers: DataFrame,
     top = hits.groupBy("monitor", "month").agg(
         F.max_by(F.struct("level", "action", "crossed_at"), "level").alias("top"))
 
+    return _status(monthly, top)
+
+
+def quota_walk(usage: DataFrame, monitors: DataFrame, triggers: DataFrame,
+               id_col: str = "meter_id", slices: int | None = None) -> DataFrame:
+    """The same rows as ``quota_status``, by a distributed prefix sum.
+
+    The log is put in (time, id) order once: range slices, written (so this
+    runs a job when called).  Every slice is summed per month and warehouse;
+    running totals over the slices are each slice's ``base``.  A level can only be
+    reached first in a slice whose base is below it and whose positive credits
+    lift it that far; only those slices are read again, and a running sum inside
+    them finds the rows.  A task holds one slice at most, whatever a single
+    monitor, minute or timestamp holds, and no join depends on broadcasting.
+    """
+    ts_type = usage.schema["start_time"].dataType
+    rows = usage.select(
+        F.col(id_col).alias("_id"), "warehouse_name", "start_time", F.col("credits_used").alias("credits"),
+        F.date_trunc("month", F.col("start_time")).cast(ts_type).alias("month"))
+    log = sliced(rows, [F.col("start_time"), F.col("_id")], slices, "quota-log").rows
+    gain = F.greatest(F.col("credits"), F.lit(0).cast(usage.schema["credits_used"].dataType))
+
+    scope = monitors.select("monitor", "quota", F.coalesce(F.col("warehouse_name"), F.lit("*")).alias("scope"))
+    cells = log.groupBy(SLICE, "month", "warehouse_name").agg(
+        F.sum("credits").alias("total"), F.sum(gain).alias("gain"))
+    totals = (cells.withColumn("scope", F.explode(F.array("warehouse_name", F.lit("*")))).join(scope, "scope")
+              .groupBy("monitor", "quota", "scope", "month", SLICE)
+              .agg(F.sum("total").alias("total"), F.sum("gain").alias("gain")))
+    run = Window.partitionBy("monitor", "month").orderBy(SLICE)
+    totals = carried(totals, "total", "base", ["monitor", "month"]).withColumn("fresh", F.row_number().over(run) == 1)
+
+    need = F.col("quota") * F.col("level") / F.lit(100.0)
+    reach = (totals.join(triggers.select("monitor", "level", "action"), "monitor").withColumn("need", need)
+             .where((F.col("fresh") | (F.col("base").cast("double") < F.col("need")))
+                    & ((F.col("base") + F.col("gain")).cast("double") >= F.col("need")))
+             .groupBy("monitor", "scope", "month", SLICE, "base")
+             .agg(F.collect_list(F.struct("level", "action", "need")).alias("levels")))
+    walk = Window.partitionBy("monitor", "month", SLICE).orderBy("start_time", "_id").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    hits = (log.join(reach, ["month", SLICE])
+            .where((F.col("scope") == "*") | (F.col("scope") == F.col("warehouse_name")))
+            .withColumn("run", (F.col("base") + F.sum("credits").over(walk)).cast("double"))
+            .withColumn("hit", F.explode(F.filter("levels", lambda x: F.col("run") >= x["need"])))
+            .groupBy("monitor", "month", "hit.level", "hit.action")
+            .agg(F.min_by("start_time", F.struct("start_time", "_id")).alias("crossed_at")))
+    top = hits.groupBy("monitor", "month").agg(
+        F.max_by(F.struct("level", "action", "crossed_at"), "level").alias("top"))
+    monthly = totals.groupBy("monitor", "quota", "month").agg(F.sum("total").alias("used_credits"))
+    return _status(monthly, top)
+
+
+def _status(monthly: DataFrame, top: DataFrame) -> DataFrame:
     out = monthly.join(top, ["monitor", "month"], "left")
     return out.select(
         "monitor", "month", "used_credits", "quota",
@@ -143,6 +207,6 @@ def budget_status(usage: DataFrame, limit: float, id_col: str = "meter_id",
                   name: str = "ACCOUNT_BUDGET") -> DataFrame:
     """Monthly spend against a spending limit; notify-only at 100 %."""
     spark = usage.sparkSession
-    mons = spark.createDataFrame([(name, None, float(limit))], MONITOR_SCHEMA)
-    trig = spark.createDataFrame([(name, 100, "NOTIFY")], TRIGGER_SCHEMA)
-    return quota_status(usage, mons, trig, id_col=id_col)
+    mons = monitors_frame(spark, [(name, None, float(limit))])
+    trig = triggers_frame(spark, [(name, 100, "NOTIFY")])
+    return quota_walk(usage, mons, trig, id_col=id_col)

@@ -404,8 +404,8 @@ def layer_storage(spark, sf_dir):
 
 @register("quota_status")
 def quota_status(spark, sf_dir):
-    return parity(_quota.quota_status(_td.metering_history(spark, sf_dir),
-                                      _quota.monitors_frame(spark), _quota.triggers_frame(spark)))
+    return parity(_quota.quota_walk(_td.metering_history(spark, sf_dir),
+                                    _quota.monitors_frame(spark), _quota.triggers_frame(spark)))
 
 
 @register("budget_status")
