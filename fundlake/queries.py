@@ -453,10 +453,26 @@ def quoted_line_breaks(spark, sf_dir):
     path = shared_dir(spark, "landing-line-breaks")
     raw = _td.raw_applications(spark, sf_dir)
     broken = raw.withColumn("institution_name", F.concat("institution_name", F.lit("\nMain, Campus")))
-    _landing.write_landing_csv(broken, path)
+    _landing.write_landing_csv(broken, path, compression="none")
     return _landing.read_landing(spark, path, _landing.LANDING_SCHEMAS["applications"], multi_line=True)
 
 
+@register("incremental_line_breaks")
+def incremental_line_breaks(spark, sf_dir):
+    """Two drops of names over two lines through the incremental path: every
+    record lands once."""
+    from fundlake.streaming.incremental import land_new_files
+    inbox, table, ckpt = (shared_dir(spark, f"breaks-{n}") for n in ("inbox", "landed", "ckpt"))
+    raw = _td.raw_applications(spark, sf_dir)
+    broken = raw.withColumn("institution_name", F.concat("institution_name", F.lit("\nMain, Campus")))
+    late = F.coalesce(F.col("status").isin("Pending", "pending"), F.lit(False))
+    schema = _landing.LANDING_SCHEMAS["applications"]
+    for i, part in enumerate((broken.where(late), broken.where(~late))):
+        _landing.write_landing_csv(part, f"{inbox}/drop{i}", compression="none")
+        land_new_files(spark, f"{inbox}/drop*", schema, table, ckpt, multi_line=True)
+    return spark.read.parquet(table).drop("batch")
+
+
 @register("sql_functions")
 def sql_functions(spark, sf_dir):
     """The parsers as SQL functions."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundlake.functions.text import NULL_TOKENS, null_if_tokens
+from fundlake.sources.records import read_records
 
 CORRUPT_COL = "_raw_line"
 
@@ -85,9 +86,9 @@ def read_landing(spark: SparkSession, path, schema: T.StructType,
       ``keep_raw_line`` so rejects can be accounted for;
     * null tokens applied to every column.
 
-    ``multi_line``: quoted fields may hold line breaks.  A file is then read
-    by one task from its start (a line break no longer ends a record, so it
-    can't be split); deliver such extracts as many files.
+    ``multi_line``: quoted fields may hold line breaks.  A plain file is still
+    read by many tasks: the parity of the quotes before each split tells where
+    its records begin (``sources.records``); quotes must be balanced.
 
     Gzip files are not splittable: one task per file.  ``min_partitions``
     re-spreads such input before the (wide) cleansing work when the scan
@@ -96,6 +97,11 @@ def read_landing(spark: SparkSession, path, schema: T.StructType,
     fields = list(schema.fields)
     if keep_raw_line:
         fields.append(T.StructField(CORRUPT_COL, T.StringType(), True))
+    if multi_line:
+        df = read_records(spark, path, schema, header, CORRUPT_COL if keep_raw_line else None)
+        if min_partitions:
+            df = spread(df, min_partitions)
+        return null_tokens(df, [f.name for f in schema.fields])
     reader = (spark.read.schema(T.StructType(fields))
               .option("header", header)
               .option("quote", '"')
@@ -103,7 +109,6 @@ def read_landing(spark: SparkSession, path, schema: T.StructType,
               .option("ignoreLeadingWhiteSpace", True)
               .option("ignoreTrailingWhiteSpace", True)
               .option("mode", "PERMISSIVE")
-              .option("multiLine", multi_line)
               .option("enforceSchema", True))
     if keep_raw_line:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
