@@ -35,6 +35,7 @@ class RowPolicy:
     dim_key: str = "institution_key"
     natural_key: str = "institution_id"
     dim_rows: int | None = None      # proven bound on dim rows (broadcast)
+    dim_name: str = "dim_institution"    # the dimension's table, for session views
 
     def allowed_keys(self, role: str) -> DataFrame:
         ent = (self.entitlements.where(F.col("role_name") == F.lit(role))
@@ -67,6 +68,50 @@ class MaskPolicy:
         return df.withColumn(self.column, masked)
 
 
+# The role of an SQL session, set with SET VAR; no role at first.
+ROLE_VARIABLE = "fundlake_role"
+
+
+def _listed(names) -> str:
+    return ", ".join("'" + n.replace("'", "''") + "'" for n in names)
+
+
+def session_views(spark, registry: "Registry", sources: dict, entitlements: DataFrame, prefix: str = "session_") -> list[str]:
+    """One set of temp views for all roles: they read the session's variable
+    ``fundlake_role`` when a query is planned, so
+
+        SET VAR fundlake_role = 'ANALYST'
+
+    alone changes what the session sees.  Without a role nothing governed is
+    visible.  ``sources``: table name -> (SQL of its relation, schema), whole
+    relations that are not in the catalog.  The role is a constant of the plan: a
+    privileged one leaves a plain scan, any other a left semi join on its keys.
+    Policies attached to ``registry`` later need the views made anew.
+    """
+    role = f"system.session.{ROLE_VARIABLE}"
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {ROLE_VARIABLE} STRING DEFAULT CAST(NULL AS STRING)")
+    entitled = f"{prefix}entitlements"
+    entitlements.createOrReplaceTempView(entitled)
+    names = []
+    for table, (relation, schema) in sources.items():
+        tests, shown = [], {f.name: f"CAST(t.`{f.name}` AS {f.dataType.simpleString()})" for f in schema.fields}
+        for p in registry.policies[registry._known(table)]:
+            if isinstance(p, RowPolicy):
+                dim = sources[p.dim_name][0]
+                tests.append(f"""({role} IN ({_listed(p.privileged)}) OR EXISTS (
+                    SELECT 1 FROM {entitled} e JOIN {dim} d ON d.`{p.natural_key}` = e.`{p.natural_key}`
+                    WHERE e.role_name = {role} AND d.`{p.dim_key}` = t.`{p.key}`))""")
+            else:
+                c = shown[p.column]
+                shown[p.column] = (f"CASE WHEN {role} IN ({_listed(p.privileged)}) THEN {c} "
+                                   f"WHEN {c} < {p.threshold} THEN NULL ELSE {c} END")
+        columns = ", ".join(f"{c} AS `{n}`" for n, c in shown.items())
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {prefix}{table} AS SELECT {columns} FROM {relation} t"
+                  + (" WHERE " + " AND ".join(tests) if tests else ""))
+        names.append(f"{prefix}{table}")
+    return names
+
+
 def plain_name(table: str) -> str:
     """A table's name without quoting, namespace or letter case, so that every
     spelling of a table meets the same policies."""
@@ -95,17 +140,21 @@ class Registry:
         return self
 
     def detach(self, table: str, policy_type=None) -> "Registry":
-        """Take policies off; the table stays known (and open without any)."""
-        name = plain_name(table)
+        """Take policies off; the table stays known (and open without any).  A
+        name that is not known is refused, as a misspelt one would be opened."""
+        name = self._known(table)
         self.policies[name] = [] if policy_type is None else [
-            p for p in self.policies.get(name, []) if not isinstance(p, policy_type)]
+            p for p in self.policies[name] if not isinstance(p, policy_type)]
         return self
 
-    def secure(self, table: str, df: DataFrame, role: str) -> DataFrame:
+    def _known(self, table: str) -> str:
         name = plain_name(table)
         if name not in self.policies:
             raise PermissionError(f"no policy is known for table {table!r}; attach one or open it by name")
-        for p in self.policies[name]:
+        return name
+
+    def secure(self, table: str, df: DataFrame, role: str) -> DataFrame:
+        for p in self.policies[self._known(table)]:
             df = p.apply(df, role)
         return df
 

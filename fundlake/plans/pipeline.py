@@ -44,9 +44,7 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> Layers:
     from ``nation`` (a fixed 25 rows) and programs from the five market
     segments, so both dimensions have proven small bounds."""
     raw = testdata.raw_tables(spark, sf_dir)
-    bounds = {"dim_institution": testdata.N_INSTITUTIONS,
-              "dim_program": len(testdata.PROGRAM_CODES)}
-    return from_raw(spark, raw, master_rows=testdata.N_INSTITUTIONS, dim_bounds=bounds)
+    return from_raw(spark, raw, master_rows=testdata.N_INSTITUTIONS, dim_bounds=testdata.DIM_BOUNDS)
 
 
 def entitlements(spark: SparkSession, rows=ENTITLEMENTS) -> DataFrame:
@@ -201,7 +199,7 @@ class Written:
             "dim_institution": lambda: st.dim_institution(s["institutions"], b.get("dim_institution")),
             "dim_program": lambda: st.dim_program(s["applications"], b.get("dim_program")),
             "dim_funding_type": lambda: st.dim_funding_type(self.spark),
-            "dim_date": lambda: st.dim_date(s["applications"]),
+            "dim_date": lambda: st.dim_date(s["applications"], b.get("dim_date")),
             "fact_applications": lambda: st.fact_applications(s["applications"], done, b),
             "fact_disbursements": lambda: st.fact_disbursements(s["disbursements"], done, b),
             "fact_enrollments": lambda: st.fact_enrollments(s["enrollments"], done, b),
@@ -255,6 +253,16 @@ class Written:
         return names + list(reports.views(tables))
 
 
+def session_views(w: Written, ent: DataFrame | None = None, registry: Registry | None = None) -> list[str]:
+    """Views ``session_<table>`` of the star, for every role of an SQL session
+    (see ``governance.session_views``).  They read the written files by path, so
+    no open table needs to be in the catalog."""
+    from fundlake.operators.governance import session_views as make
+    ent = ent if ent is not None else entitlements(w.spark)
+    reg = registry or registry_for(w.spark, w.layers(), ent)
+    return make(w.spark, reg, {n: (f"parquet.`{w.root}/star/{n}`", df.schema) for n, df in w.star.items()}, ent)
+
+
 # Marks the external tables that ``register`` made.
 EXPOSED = "fundlake.exposed"
 
@@ -300,10 +308,8 @@ def written(spark: SparkSession, sf_dir: str, bucket_facts: int | None | bool =
     with _WRITTEN_LOCK:      # concurrent callers share one build
         w = _WRITTEN.get(key)
         if w is None:
-            bounds = {"dim_institution": testdata.N_INSTITUTIONS,
-                      "dim_program": len(testdata.PROGRAM_CODES)}
             w = Written(spark, testdata.raw_tables(spark, sf_dir), shared_dir(spark, "layers"),
-                        bucket_facts, master_rows=testdata.N_INSTITUTIONS, dim_bounds=bounds)
+                        bucket_facts, master_rows=testdata.N_INSTITUTIONS, dim_bounds=testdata.DIM_BOUNDS)
             _WRITTEN[key] = w
     return w
 
@@ -342,9 +348,13 @@ def _switch(spark: SparkSession, out: str, run: str) -> None:
     stream.write(bytearray(run.encode()))
     stream.close()
     _, at = _path(spark, out, "CURRENT")
-    fs.delete(at, False)
-    if not fs.rename(new, at):
-        raise OSError(f"could not switch {out} to {run}")
+    # One rename that replaces: a reader finds the old run or the new one.
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    context.rename(fs.makeQualified(new), fs.makeQualified(at), options)
 
 
 def current_run(spark: SparkSession, out: str) -> str | None:

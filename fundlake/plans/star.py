@@ -43,10 +43,10 @@ def dim_funding_type(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(FUNDING_TYPES), FUNDING_TYPE_SCHEMA)
 
 
-def dim_date(applications: DataFrame) -> DataFrame:
+def dim_date(applications: DataFrame, max_rows: int | None = None) -> DataFrame:
     years = (applications.where(F.col("fiscal_year").isNotNull())
              .select(F.col("fiscal_year")).distinct())
-    keyed = surrogate_key(years, "fiscal_year", "date_key")
+    keyed = surrogate_key(years, "fiscal_year", "date_key", _slices(years, max_rows))
     fy = F.col("fiscal_year")
     return keyed.select("date_key", "fiscal_year",
                         fiscal_year_label(fy).alias("fiscal_year_label"),
@@ -103,7 +103,7 @@ def build_star(spark: SparkSession, silver: dict, bounds: dict | None = None) ->
         "dim_institution": dim_institution(silver["institutions"], bounds.get("dim_institution")),
         "dim_program": dim_program(silver["applications"], bounds.get("dim_program")),
         "dim_funding_type": dim_funding_type(spark),
-        "dim_date": dim_date(silver["applications"]),
+        "dim_date": dim_date(silver["applications"], bounds.get("dim_date")),
     }
     star = dict(dims)
     star["fact_applications"] = fact_applications(silver["applications"], dims, bounds)

@@ -21,6 +21,7 @@ from fundlake.session import shared_dir
 from fundlake.sources import landing as _landing
 from fundlake.sources import snapshots as _snap
 from fundlake.sources import testdata as _td
+from fundlake.sources.ledger import Ledger
 
 REGISTRY: dict = {}
 
@@ -355,6 +356,24 @@ def policy_detach(spark, sf_dir):
     return out.unionByName(seen("none", pipeline.registry_for(spark, lay).detach("FACT_ENROLLMENTS")))
 
 
+@register("session_role_views")
+def session_role_views(spark, sf_dir):
+    """One set of views for all roles; only SET VAR lies between the answers."""
+    pipeline.session_views(_w(spark, sf_dir))
+    parts = []
+    for role in (None, "ANALYST", pipeline.RESTRICTED_ROLE, "UNKNOWN_ROLE"):
+        spark.sql("SET VAR fundlake_role = CAST(:role AS STRING)", args={"role": role})
+        for t in ("fact_applications", "fact_enrollments"):
+            shown = "headcount" if t == "fact_enrollments" else "amount_requested"
+            parts.append(spark.sql(f"""SELECT fundlake_role AS role_name, '{t}' AS tbl, count(*) AS n, count({shown}) AS n_shown
+                                       FROM session_{t}"""))
+    spark.sql("SET VAR fundlake_role = DEFAULT")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @register("audit_search")
 def audit_search(spark, sf_dir):
     return _gov.audit(_td.query_history(spark, sf_dir), "%FACT_PURCHASES%", 20)
@@ -389,17 +408,19 @@ def storage_by_schema(spark, sf_dir):
 
 @register("layer_storage")
 def layer_storage(spark, sf_dir):
-    """The written layers' storage from file sizes: whether it was measured,
-    beside each layer's tables and rows (sizes depend on the codec)."""
+    """The written layers' storage from file sizes.  Sizes depend on the codec, so
+    the row tells how many tables' files hold what their rows need at least (a
+    byte for a hundred rows, and a Parquet footer), and whether all do."""
     w = _w(spark, sf_dir)
-    sizes = _usage.storage_by_schema(_usage.storage_from_files(
-        spark, {layer: f"{w.root}/{layer}" for layer in ("raw", "silver", "star")}))
-    parts = [_landing.count_rows_by_table(getattr(w, layer)).agg(
-        F.lit(layer).alias("table_schema"), F.count(F.lit(1)).alias("n_tables"), F.sum("row_count").alias("n_rows"))
-        for layer in ("raw", "silver", "star")]
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return rows.join(sizes, "table_schema").select(
-        "table_schema", "n_tables", "n_rows", (F.col("mb_used") >= 0).alias("measured"))
+    layers = ("raw", "silver", "star")
+    sizes = _usage.storage_from_files(spark, {f"{layer}.{t}": f"{w.root}/{layer}/{t}" for layer in layers
+                                              for t in getattr(w, layer)})
+    sizes = sizes.groupBy(F.col("table_schema").alias("tbl")).agg(F.sum("active_bytes").alias("bytes"))
+    rows = _landing.count_rows_by_table({f"{layer}.{t}": df for layer in layers for t, df in getattr(w, layer).items()})
+    held = F.coalesce(F.col("bytes") >= F.greatest(F.lit(12), F.col("row_count") / 100), F.lit(False))
+    return rows.join(sizes, "tbl", "left").groupBy(F.split_part("tbl", F.lit("."), F.lit(1)).alias("table_schema")).agg(
+        F.count(F.lit(1)).alias("n_tables"), F.sum("row_count").alias("n_rows"),
+        F.count_if(held).alias("n_sized"), F.bool_and(held).alias("measured"))
 
 
 @register("quota_status")
@@ -426,15 +447,31 @@ def landing_roundtrip(spark, sf_dir):
 
 @register("append_load")
 def append_load(spark, sf_dir):
-    """The decisions extract is loaded in two parts that add up in one table."""
-    path = shared_dir(spark, "append-load")
-    name = "raw.decisions_" + path[-12:]
-    _landing.create_layers(spark)
+    """The decisions extract arrives in two parts that add up in one table; the
+    load of the first is run twice and takes its files once."""
+    inbox = shared_dir(spark, "append-inbox")
     raw = _td.raw_funding_decisions(spark, sf_dir)
     deferred = F.coalesce(F.lower("decision") == "deferred", F.lit(False))
-    _landing.load(raw.where(deferred), name, path=path)
-    _landing.load(raw.where(~deferred), name, path=path)
-    return spark.table(name)
+    ledger = Ledger(spark, shared_dir(spark, "append-load"), _landing.LANDING_SCHEMAS["funding_decisions"], "decision_id")
+    for i, (part, times) in enumerate(((raw.where(deferred), 2), (raw.where(~deferred), 1))):
+        _landing.write_landing_csv(part, f"{inbox}/part{i}")
+        for _ in range(times):
+            ledger.load(f"{inbox}/part*", glob="*.csv.gz")
+    return ledger.rows().drop("ragged")
+
+
+@register("load_report")
+def load_report(spark, sf_dir):
+    """Rows loaded, ragged and rejected in each drop of the ragged enrollment
+    extract, from the ledger's account of its files."""
+    inbox = shared_dir(spark, "report-inbox")
+    ledger = Ledger(spark, shared_dir(spark, "report-load"), _landing.LANDING_SCHEMAS["enrollments"], "enrollment_id")
+    lines = _ragged_enrollment_lines(spark, sf_dir, keep_line_key=True)
+    for i in range(2):
+        lines.where(F.col("_k") % 2 == i).select("value").write.text(f"{inbox}/drop{i}")
+        ledger.load(f"{inbox}/drop*", header=False, glob="part-*")
+    drop = F.regexp_extract("path", "/(drop[0-9]+)/", 1).alias("drop")
+    return ledger.entries().groupBy(drop).agg(*[F.sum(c).alias(c) for c in ("loaded", "ragged", "rejected")])
 
 
 @register("padded_fields")
@@ -484,7 +521,7 @@ def sql_functions(spark, sf_dir):
                                FROM landed_decisions"""))
 
 
-def _ragged_enrollment_lines(spark, sf_dir) -> DataFrame:
+def _ragged_enrollment_lines(spark, sf_dir, keep_line_key: bool = False) -> DataFrame:
     """Enrollment extract as text lines: every 23rd line lost its last
     field, every 19th has an extra one, every 37th has no id."""
     e = _td.raw_enrollments(spark, sf_dir, keep_line_key=True)
@@ -496,7 +533,7 @@ def _ragged_enrollment_lines(spark, sf_dir) -> DataFrame:
     line = (F.when(k % 23 == 0, first4)
             .when(k % 19 == 0, F.concat_ws(",", first4, head, F.lit("extra")))
             .otherwise(F.concat_ws(",", first4, head)))
-    return e.select(line.alias("value"))
+    return e.select(line.alias("value"), *(["_k"] if keep_line_key else []))
 
 
 @register("split_rejects")

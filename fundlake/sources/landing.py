@@ -8,6 +8,8 @@ in the silver layer.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,7 +78,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 def read_landing(spark: SparkSession, path, schema: T.StructType,
                  keep_raw_line: bool = False, min_partitions: int | None = None,
-                 header: bool = True, multi_line: bool = False) -> DataFrame:
+                 header: bool = True, multi_line: bool = False, file_col: str | None = None) -> DataFrame:
     """Scan CSV file(s) at ``path`` (gzip chosen by suffix) with ``schema``.
 
     * header line skipped, ``"`` quoting with doubled-quote escapes;
@@ -90,6 +92,8 @@ def read_landing(spark: SparkSession, path, schema: T.StructType,
     read by many tasks: the parity of the quotes before each split tells where
     its records begin (``sources.records``); quotes must be balanced.
 
+    ``file_col``: a column with the file each row came from.
+
     Gzip files are not splittable: one task per file.  ``min_partitions``
     re-spreads such input before the (wide) cleansing work when the scan
     has fewer splits than that (decided at planning time).
@@ -98,7 +102,7 @@ def read_landing(spark: SparkSession, path, schema: T.StructType,
     if keep_raw_line:
         fields.append(T.StructField(CORRUPT_COL, T.StringType(), True))
     if multi_line:
-        df = read_records(spark, path, schema, header, CORRUPT_COL if keep_raw_line else None)
+        df = read_records(spark, path, schema, header, CORRUPT_COL if keep_raw_line else None, file_col)
         if min_partitions:
             df = spread(df, min_partitions)
         return null_tokens(df, [f.name for f in schema.fields])
@@ -113,6 +117,8 @@ def read_landing(spark: SparkSession, path, schema: T.StructType,
     if keep_raw_line:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
     df = reader.csv(path)
+    if file_col:
+        df = df.select("*", F.col("_metadata.file_path").alias(file_col))
     if min_partitions:
         df = spread(df, min_partitions)
     return null_tokens(df, [f.name for f in schema.fields])
@@ -173,6 +179,29 @@ def load(df: DataFrame, table: str, partition_by=None, path: str | None = None)
     w.saveAsTable(table)
 
 
+def refresh(df: DataFrame, table: str, root: str) -> str:
+    """Replace a table's rows without a gap: write aside, then move the table's
+    location in one catalog call.
+
+    A reader sees the old rows or the new ones, never none and never a mixture; one
+    that began before goes on with the old files, which stay until they are
+    deleted by hand.  Returns the new location.  The table is created on the
+    first call; its columns can't change afterwards.
+    """
+    spark = df.sparkSession
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex[:12]}"
+    if spark.catalog.tableExists(table):
+        have, found = df.schema.simpleString(), spark.table(table).schema.simpleString()
+        if have != found:
+            raise ValueError(f"{table} has {found}, not {have}")
+        df.write.parquet(path)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    else:
+        df.write.parquet(path)
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+    return path
+
+
 def save(df: DataFrame, table: str, partition_by=None, bucket_by=None) -> None:
     """Create-or-replace a table from a query (full refresh).
 

@@ -32,7 +32,7 @@ def physical_lines(reader, path) -> DataFrame:
 
 
 def records(lines: DataFrame, header: bool = True) -> DataFrame:
-    """(record): one row per CSV record of ``physical_lines``."""
+    """(record, file): one row per CSV record of ``physical_lines``."""
     odd = (F.length("value") - F.length(F.replace("value", F.lit(QUOTE), F.lit("")))) % 2
     # A task reads the lines of a split in order, so a running id gives their order.
     lines = lines.withColumns({ODD: odd.cast("long"), POS: F.monotonically_increasing_id()})
@@ -56,27 +56,28 @@ def records(lines: DataFrame, header: bool = True) -> DataFrame:
         + F.col("_seen"))
     alone = (F.col("_before") % 2 == 0) & (F.col(ODD) == 0)
 
-    single = placed.where(alone).select(F.col("value").alias("record"), F.col("_first"))
+    single = placed.where(alone).select(F.col("value").alias("record"), FILE, "_first")
     pieces = F.transform(F.sort_array(F.collect_list(F.struct(BLOCK, POS, "value"))), lambda x: x["value"])
-    joined = (placed.where(~alone).groupBy(FILE, F.floor(F.col("_before") / 2).alias("_record"))
+    joined = (placed.where(~alone).groupBy(FILE, F.shiftright("_before", 1).alias("_record"))
               .agg(F.array_join(pieces, "\n").alias("record"), F.max("_first").alias("_first")))
-    out = single.unionByName(joined.select("record", "_first"))
+    out = single.unionByName(joined.select("record", FILE, "_first"))
     if header:
         out = out.where(~F.col("_first"))
     # A carriage return before the break belongs to the line end; blank lines are no records.
-    return out.select(F.regexp_replace("record", "\r$", "").alias("record")).where(F.trim("record") != "")
+    return out.select(F.regexp_replace("record", "\r$", "").alias("record"), FILE).where(F.trim("record") != "")
 
 
-def parse(found: DataFrame, schema: T.StructType, corrupt: str | None = None) -> DataFrame:
-    """Fields of each record, by the rules of the line reader."""
+def parse(found: DataFrame, schema: T.StructType, corrupt: str | None = None, file_col: str | None = None) -> DataFrame:
+    """Fields of each record, by the rules of the line reader, and on request its file."""
     fields = T.StructType([*schema.fields, *([T.StructField(corrupt, T.StringType())] if corrupt else [])])
     options = {"quote": QUOTE, "escape": QUOTE, "mode": "PERMISSIVE", "multiLine": "true",
                "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
     if corrupt:
         options["columnNameOfCorruptRecord"] = corrupt
     row = F.from_csv("record", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), options)
-    return found.select(row.alias("_r")).select("_r.*")
+    return found.select(row.alias("_r"), FILE).select("_r.*", *([F.col(FILE).alias(file_col)] if file_col else []))
 
 
-def read_records(spark: SparkSession, path, schema: T.StructType, header: bool = True, corrupt: str | None = None) -> DataFrame:
-    return parse(records(physical_lines(spark.read, path), header), schema, corrupt)
+def read_records(spark: SparkSession, path, schema: T.StructType, header: bool = True, corrupt: str | None = None,
+                 file_col: str | None = None) -> DataFrame:
+    return parse(records(physical_lines(spark.read, path), header), schema, corrupt, file_col)

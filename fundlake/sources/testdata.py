@@ -38,6 +38,9 @@ FUNDING_TYPE_BY_PRIORITY = {"1": "FT-OPS", "2": "FT-CAP", "3": "FT-RES",
                             "4": "FT-ACC", "5": "FT-INN"}
 PROGRAM_CODES = ("PRG-AUTO", "PRG-BUIL", "PRG-FURN", "PRG-HOUS", "PRG-MACH")
 N_INSTITUTIONS = 25
+# Proven row bounds: the master has 25 rows, programs are the segments above, and
+# a fiscal year is the four-digit year of a date.
+DIM_BOUNDS = {"dim_institution": N_INSTITUTIONS, "dim_program": len(PROGRAM_CODES), "dim_date": 10_000}
 UNKNOWN_INSTITUTION_OFFSET = 900
 WAREHOUSE_BY_EVENT = {"signup": "LOAD_WH", "purchase": "TRANSFORM_WH",
                       "view": "REPORTING_WH", "click": "REPORTING_WH"}
