@@ -22,6 +22,7 @@ from fundlake.sources import landing as _landing
 from fundlake.sources import snapshots as _snap
 from fundlake.sources import testdata as _td
 from fundlake.sources.ledger import Ledger
+from fundlake.sources.logstore import HistoryStore, MeteringStore
 
 REGISTRY: dict = {}
 
@@ -241,6 +242,14 @@ def kpi_picked_years(spark, sf_dir):
                               v["v_program_efficiency"], years=PICKED_YEARS)
 
 
+@register("kpi_years_from_rollup")
+def kpi_years_from_rollup(spark, sf_dir):
+    """The same figures from a row per fiscal year, written once for any pick."""
+    v = _views(spark, sf_dir)
+    years = dashboard.year_rollup(v["v_funding_equity"], v["v_disbursement_lag"], shared_dir(spark, "year-rollup"))
+    return dashboard.headline_of_years(spark, years, v["v_program_efficiency"], PICKED_YEARS)
+
+
 @register("fiscal_years")
 def fiscal_years(spark, sf_dir):
     return dashboard.fiscal_years(_views(spark, sf_dir)["v_funding_equity"])
@@ -396,6 +405,40 @@ def daily_credits(spark, sf_dir):
                                        _td.clock(spark, sf_dir), 14))
 
 
+def _metering_store(spark, sf_dir) -> MeteringStore:
+    return MeteringStore(spark, shared_dir(spark, "metering-store")).write(_td.metering_history(spark, sf_dir))
+
+
+def _history_store(spark, sf_dir) -> HistoryStore:
+    return HistoryStore(spark, shared_dir(spark, "history-store")).write(_td.query_history(spark, sf_dir))
+
+
+@register("credits_from_store")
+def credits_from_store(spark, sf_dir):
+    """Credits per warehouse from the log store: daily sums and one cut day."""
+    store = _metering_store(spark, sf_dir)
+    return parity(store.credits_by_warehouse(store.newest(), 7, USD_PER_CREDIT))
+
+
+@register("daily_from_store")
+def daily_from_store(spark, sf_dir):
+    store = _metering_store(spark, sf_dir)
+    return parity(store.daily_credits(store.newest(), 14))
+
+
+@register("slowest_from_store")
+def slowest_from_store(spark, sf_dir):
+    """The slowest queries of the last day, from the folders of two days."""
+    store, now = _history_store(spark, sf_dir), _td.clock(spark, sf_dir)
+    return _usage.slowest_queries(store.between(now - F.make_dt_interval(F.lit(0), F.lit(24)), now), now)
+
+
+@register("audit_by_table")
+def audit_by_table(spark, sf_dir):
+    """Who used a table, by the store's list of table names."""
+    return _history_store(spark, sf_dir).audit("STAR.FACT_PURCHASES", 20)
+
+
 @register("slowest_queries")
 def slowest_queries(spark, sf_dir):
     return _usage.slowest_queries(_td.query_history(spark, sf_dir), _td.clock(spark, sf_dir))
