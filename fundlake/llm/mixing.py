@@ -5,24 +5,28 @@
    and gives every whole text its domain posteriors.
 2. Every document has a rate, the expected number of times it is used.  The
    expected tokens of domain k are the sum of rate x tokens x posterior k.
-   Of all nonnegative rates whose totals match the targets, those closest to 1
-   (least squares, weighted by tokens) are max(0, 1 + posteriors . dual): one
-   number for each domain.  Newton steps, scaled by the Gram matrix of the used
-   documents, solve for these numbers until every total is within ``TOLERANCE``
-   of all expected tokens, whatever the domains' shares.  Each step is one
-   distributed aggregate to domain totals and Gram matrix; a rate depends on
-   its document's posteriors and the dual alone, so it can be replayed anywhere.
+   Nonnegative rates are moved by projected gradient on the squared misses of the
+   targets (plus a tiny pull towards 1, which picks the rates closest to it).  A
+   step is scaled by the inverse of the misses' second derivative over the
+   documents in use, a k x k Gram matrix, and leaves documents alone that are at
+   zero and would go below (two-metric projection); it is halved while it does not
+   lower the sum.  So few steps reach the targets to ``TOLERANCE`` whatever the
+   domains' shares.  A step is k + k numbers; each document's rate follows from its
+   posteriors and the steps so far, so a step costs two distributed aggregates
+   (totals, Gram matrix) and no rate is ever kept on the driver.
    Targets that no rates reach are reported by a warning and ``Mixer.missed``;
    rates are then the least squares ones with ``PULL`` towards 1.
 3. ``mix`` uses a document floor(rate) times, and once more with the rest as
    probability, by a hash of its id and text.
 
 Totals are shares of the tokens, so nothing depends on the corpus size.  A
-share of 1e-6 or less counts as no tokens of the domain: its target is missed.
+share of 1e-6 or less counts as no tokens of the domain: its target is missed,
+and reported.  A solve takes at most ``MAX_SOLVE`` aggregates; one that ends there
+is reported with the totals reached.
 
 Defined cases: a null or empty text has no tokens, uniform posteriors and the
 rate that follows from them; without labelled rows all posteriors are uniform
-and rates only match the total; a domain without labelled rows gets no
+and rates only match the total; very long texts are read whole, like any other; a domain without labelled rows gets no
 posterior; null ids and repeated rows are rated row by row, equal rows alike;
 an empty table gives no rows.  ``mix`` keeps all columns.
 """
@@ -83,7 +87,7 @@ class Mixer:
     step: float = 0.0
     pull: float = PULL
     residuals: list = field(default_factory=list)
-    dual: np.ndarray | None = None
+    steps: list = field(default_factory=list)    # (length, misses, scaled step) of each scaled step
     missed: float = 0.0                          # largest miss of a total, as a share of the expected tokens
 
     def posteriors(self, x: np.ndarray) -> np.ndarray:
@@ -101,7 +105,10 @@ class Mixer:
         r = np.ones(len(p))
         for e in self.residuals:
             r = np.maximum(0, r - self.step * (p @ np.asarray(e) + self.pull * (r - 1)))
-        return r if self.dual is None else np.maximum(0, 1 + p @ self.dual)
+        for length, e, v in self.steps:
+            rest = (r <= 0) & (p @ e >= 0)
+            r = np.where(rest, 0.0, np.maximum(0, (1 - length) * r + length * (1 - p @ v)))
+        return r
 
 
 def softmax_fit(x: np.ndarray, y: np.ndarray, k: int, rounds: int = 300, decay: float = 1e-4) -> np.ndarray:
@@ -134,8 +141,10 @@ def learn(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...], id_col
             yield pa.RecordBatch.from_arrays([pa.array([r.astype(np.float32).tobytes() for r in x], pa.binary()),
                                               b.column(1)], ["x", "domain"])
 
-    rows = texts.join(F.broadcast(picked), "id").select("text", "domain") \
-        .mapInArrow(run, "x binary, domain string").collect()
+    # One text of each picked id, the one with the least hash: an id that many rows share is one row.
+    chosen = (texts.join(F.broadcast(picked), "id").withColumn("h", F.struct(F.xxhash64("text").alias("h"), "text"))
+              .groupBy("id", "domain").agg(F.min("h")["text"].alias("text")))
+    rows = chosen.select("text", "domain").mapInArrow(run, "x binary, domain string").collect()
     if not rows:
         return None
     x = np.stack([np.frombuffer(r.x, np.float32) for r in rows])
@@ -166,48 +175,80 @@ def _stepped(rate: Column, residual: np.ndarray, step: float, pull: float) -> Co
     return F.greatest(F.lit(0.0), rate - step * (drift + pull * (rate - 1.0)))
 
 
-def _rate(dual: np.ndarray) -> Column:
-    return F.greatest(F.lit(0.0), sum((F.col("p")[k] * float(v) for k, v in enumerate(dual)), F.lit(1.0)))
+def _along(numbers, k: int) -> Column:
+    """The posteriors times ``numbers`` (a Column of an array, or numbers)."""
+    return sum((F.col("p")[i] * (numbers[i] if isinstance(numbers, Column) else float(numbers[i])) for i in range(k)),
+               F.lit(0.0))
 
 
-def _totals(known: DataFrame, k: int, rate: Column) -> tuple[float, np.ndarray, np.ndarray, float]:
-    """(tokens, domain totals, Gram matrix of the used rows, sum of tokens x rate^2) in one aggregate."""
-    p, t = [F.col("p")[i] for i in range(k)], F.col("tokens").cast("double")
-    used = F.when(F.col("rate") > 0, t).otherwise(0.0)
+def _rate(steps: list, k: int) -> Column:
+    """The rate of a row after ``steps``, folded over them (``Mixer.rates`` in Spark)."""
+    if not steps:
+        return F.lit(1.0)
+    rows = F.array(*[F.struct(F.lit(float(n)).alias("n"), F.array(*[F.lit(float(x)) for x in e]).alias("e"),
+                              F.array(*[F.lit(float(x)) for x in v]).alias("v")) for n, e, v in steps])
+
+    def moved(r, s):
+        there = F.greatest(F.lit(0.0), (1 - s["n"]) * r + s["n"] * (1 - _along(s["v"], k)))
+        return F.when((r <= 0) & (_along(s["e"], k) >= 0), F.lit(0.0)).otherwise(there)
+
+    return F.aggregate(rows, F.lit(1.0), moved)
+
+
+def _totals(known: DataFrame, k: int, rate: Column) -> tuple[float, np.ndarray, float]:
+    """(tokens, domain totals, token-weighted mean of (rate - 1)^2) in one aggregate."""
+    t = F.col("tokens").cast("double")
     row = known.withColumn("rate", rate).agg(
-        F.sum(t).alias("n"), F.sum(t * F.col("rate") * F.col("rate")).alias("q"),
-        *[F.sum(F.col("rate") * t * p[i]).alias(f"s{i}") for i in range(k)],
-        *[F.sum(used * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+        F.sum(t).alias("n"), F.sum(t * (F.col("rate") - 1) ** 2).alias("q"),
+        *[F.sum(F.col("rate") * t * F.col("p")[i]).alias(f"s{i}") for i in range(k)]).first()
     if not row.n:
-        return 0.0, np.zeros(k), np.zeros((k, k)), 0.0
-    return (row.n, np.array([row[f"s{i}"] for i in range(k)]) / row.n,
-            np.array([[row[f"g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / row.n, row.q / row.n)
+        return 0.0, np.zeros(k), 0.0
+    return row.n, np.array([row[f"s{i}"] for i in range(k)]) / row.n, row.q / row.n
+
+
+def _in_use(known: DataFrame, k: int, rate: Column, misses: np.ndarray, n: float) -> tuple[np.ndarray, np.ndarray]:
+    """(Gram matrix, totals of rate - 1) of the documents in use: all but those at
+    zero that the gradient pushes below it."""
+    p, t = [F.col("p")[i] for i in range(k)], F.col("tokens").cast("double")
+    used = known.withColumn("rate", rate).where((F.col("rate") > 0) | (_along(misses, k) < 0))
+    row = used.agg(*[F.sum(t * (F.col("rate") - 1) * p[i]).alias(f"a{i}") for i in range(k)],
+                   *[F.sum(t * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+    return (np.array([[row[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)]) / n,
+            np.array([row[f"a{i}"] or 0.0 for i in range(k)]) / n)
 
 
 def solve(known: DataFrame, start: tuple, want: np.ndarray, live: np.ndarray, pull: float,
-          close: float) -> tuple[np.ndarray, np.ndarray]:
-    """(dual, totals) by Newton steps on the convex dual, halved where they
-    overshoot; ends when the totals of the ``live`` domains are within
-    ``close`` or the pull alone keeps them from it.  ``start``: ``_totals`` at rate 1."""
-    k = len(want)
-    dual, (_, now, gram, q) = np.zeros(k), start
-    value, length, move = q / 2, 1.0, np.zeros(k)
-    for _ in range(MAX_SOLVE):
-        slope = np.where(live, now + pull * dual - want, 0.0)
-        if np.abs(now - want)[live].max(initial=0.0) <= close or np.abs(slope).max() <= close / 10:
+          close: float) -> tuple[list, np.ndarray]:
+    """(steps, totals) of the scaled projected gradient; ends when the totals of the
+    ``live`` domains are within ``close``, or no step lowers the sum any more.
+    ``start``: ``_totals`` at rate 1."""
+    k, (n, now, off) = len(want), start
+    steps: list = []
+    spent = 0
+
+    def value(now, off):
+        return (np.where(live, now - want, 0.0) ** 2).sum() / 2 + pull / 2 * off
+
+    while spent < MAX_SOLVE:
+        misses = np.where(live, now - want, 0.0)
+        if np.abs(misses).max(initial=0.0) <= close:
             break
-        if length == 1.0 or not move.any():
-            move = np.zeros(k)
-            move[live] = -np.linalg.solve(gram[np.ix_(live, live)] + pull * np.eye(live.sum()), slope[live])
-        there = dual + length * move
-        _, f, g, q = _totals(known, k, _rate(there))
-        v = q / 2 + pull / 2 * there @ there - want[live] @ there[live]
-        drop = np.abs(np.where(live, f + pull * there - want, 0.0)).max() <= np.abs(slope).max() / 2
-        if drop or v <= value + 1e-4 * length * (slope @ move) or length < 1e-9:
-            dual, now, gram, value, length = there, f, g, v, 1.0
-        else:
+        gram, moved = _in_use(known, k, _rate(steps, k), misses, n)
+        spent += 1
+        step = np.zeros(k)
+        step[live] = np.linalg.solve(gram[np.ix_(live, live)] + pull * np.eye(live.sum()), (misses - moved)[live])
+        length, before = 1.0, value(now, off)
+        while spent < MAX_SOLVE:
+            trial = [*steps, (length, misses, step)]
+            _, there, away = _totals(known, k, _rate(trial, k))
+            spent += 1
+            if value(there, away) < before * (1 - 1e-4 * length):
+                steps, now, off = trial, there, away
+                break
             length /= 2
-    return dual, now
+            if length < 1e-6:
+                return steps, now
+    return steps, now
 
 
 def fit_rates(known: DataFrame, mixer: Mixer, targets: dict[str, float], budget: float | None = None,
@@ -216,14 +257,14 @@ def fit_rates(known: DataFrame, mixer: Mixer, targets: dict[str, float], budget:
 
     ``budget``: expected tokens in all.  Without one it is the smallest total
     for which no domain's documents need to be used less than once.
-    ``max_steps`` asks for at most so many plain projected gradient steps in
-    place of the solve.  A total off by more than ``tolerance`` is reported.
+    ``max_steps`` asks for at most so many unscaled projected gradient steps
+    instead.  A total off by more than ``tolerance`` is reported.
     """
     k = len(mixer.domains)
     p = [F.col("p")[i] for i in range(k)]
     rated = known.withColumn("rate", F.lit(1.0))
     start = _totals(known, k, F.lit(1.0))
-    n, share, gram, _ = start
+    n, share, _ = start
     if not n:
         return rated
     want = np.array([targets.get(d, 0.0) for d in mixer.domains])
@@ -233,11 +274,12 @@ def fit_rates(known: DataFrame, mixer: Mixer, targets: dict[str, float], budget:
         [1.0, *(s / w for s, w, on in zip(share, want, live) if w > 0 and on)])
     want = want * scale
     if max_steps is None:
-        mixer.dual, now = solve(known, start, want, live, EXACT_PULL, tolerance * scale)
+        mixer.steps, now = solve(known, start, want, live, EXACT_PULL, tolerance * scale)
         if np.abs(now - want)[live].max(initial=0.0) > tolerance * scale:
-            mixer.dual, now = solve(known, start, want, live, mixer.pull, tolerance * scale)
-        rated = known.withColumn("rate", _rate(mixer.dual))
+            mixer.steps, now = solve(known, start, want, live, mixer.pull, tolerance * scale)
+        rated = known.withColumn("rate", _rate(mixer.steps, k))
     else:
+        gram, _ = _in_use(known, k, F.lit(1.0), np.zeros(k), n)
         mixer.step = 1.0 / (np.linalg.eigvalsh(gram)[-1] + mixer.pull)
         now, pending = share, 0
         for _ in range(max_steps):

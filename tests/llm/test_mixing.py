@@ -96,3 +96,59 @@ def test_targets_out_of_reach_are_reported(spark):
     with pytest.warns(UserWarning, match="misses its targets"):
         rated = mixing.fit_rates(df, mixer, mixing.TARGETS)
     assert mixer.missed > 0.1 and all(0 < r.rate < 10 for r in rated.collect())
+
+
+def one_machine(p, t, want, pull=mixing.EXACT_PULL, close=mixing.TOLERANCE):
+    """Scaled projected gradient in numpy, rates held as one vector."""
+    r, n = np.ones(len(t)), t.sum()
+
+    def misses(r):
+        return (r * t) @ p / n - want
+
+    def value(r):
+        return (misses(r) ** 2).sum() / 2 + pull / 2 * (t * (r - 1) ** 2).sum() / n
+
+    for _ in range(50):
+        e = misses(r)
+        if np.abs(e).max() <= close:
+            break
+        free = (r > 0) | (p @ e < 0)
+        w = t[free, None] * p[free] / n
+        v = np.linalg.solve(w.T @ p[free] + pull * np.eye(len(want)), e - w.T @ (r[free] - 1))
+        length = 1.0
+        while length > 1e-6:
+            new = np.where(free, np.maximum(0, (1 - length) * r + length * (1 - p @ v)), 0)
+            if value(new) < value(r) * (1 - 1e-4 * length):
+                break
+            length /= 2
+        r = new
+    return r
+
+
+@pytest.mark.parametrize("targets, budget", [([0.6, 0.3, 0.1], None), ([0.05, 0.05, 0.9], 0.4), ([0.3, 0.3, 0.4], 1.0), ([0.02, 0.9, 0.08], 3.0)])
+def test_registered_path_equals_one_machine(spark, targets, budget):
+    p, t, df = known(spark, 400, 3)
+    mixer = mixing.Mixer(("a", "b", "c"), None)
+    rated = mixing.fit_rates(df, mixer, dict(zip("abc", targets)), None if budget is None else budget * t.sum())
+    r = np.array([x.rate for x in sorted(rated.collect(), key=lambda x: x.id)])
+    share = t @ p / t.sum()
+    scale = budget or mixing.HEADROOM * max(1.0, *(share / np.array(targets)))
+    want = np.array(targets) * scale
+    assert np.allclose(r, one_machine(p, t, want, close=mixing.TOLERANCE * scale)) and np.allclose(r, mixer.rates(p))
+    assert (r >= 0).all() and np.abs((r * t) @ p / t.sum() - want).max() <= mixing.TOLERANCE * scale
+    assert mixer.steps and not mixer.residuals
+    # Of all rates that meet these totals, ours are (nearly) the closest to 1.
+    other = np.maximum(0, r + 0.05 * np.random.default_rng(1).normal(size=len(r)))
+    a = (t[:, None] * p / t.sum()).T
+    other -= (p @ np.linalg.solve(a @ p, a @ (other - r)))
+    if (other >= 0).all():
+        assert (t * (other - 1) ** 2).sum() >= 0.999 * (t * (r - 1) ** 2).sum()
+
+
+def test_an_id_of_many_rows_sends_one_row_to_the_driver(spark):
+    docs = spark.createDataFrame([(1, f"the and of {i}") for i in range(500)] + [(2, "der die das und"), (3, "le la les")],
+                                 "doc_id long, text string")
+    labelled = spark.createDataFrame([(1, "en"), (1, "en"), (2, "de"), (3, "fr")], "id long, domain string")
+    weights = mixing.learn(docs, labelled, ("en", "de", "fr"), "doc_id", "text")
+    x, _ = mixing.byte_pairs(["the and of 7", "der und die", "la le les"])
+    assert mixing.Mixer(("en", "de", "fr"), weights).posteriors(x).argmax(axis=1).tolist() == [0, 1, 2]
