@@ -1,11 +1,18 @@
 """Chat formatting by prefix-target expansion.
 
 ``format_turns`` writes every turn as a marked segment of its conversation's
-transcript, with running offsets.  Every assistant turn is an example of its
-own: its context is the transcript up to its reply, only the reply is under
-the loss mask.  The segment table holds the examples by offset, so its size
-follows the input also where a conversation is very long; ``examples`` writes
-them out with their whole context.
+transcript, with running offsets.  ``expand`` makes every assistant turn an
+example of its own: all segments up to its reply, of which only the reply is
+under the loss mask.  Its rows are pieces (one segment of one example), so an
+example of any length is many rows and never one.  A segment at one place is in
+all examples that end there or later, which its row knows by itself: the
+expansion is a row-wise explode, without a join, and the segments of a very long
+conversation are dealt to many tasks first.  Turns after the last reply are in no
+example; they are written once, as the rest.
+
+The output grows with the square of a conversation's turns, as the method has
+it; a segment's repeats stand side by side, so that Parquet stores its text once.
+``read_back`` writes the examples and takes every figure from the written rows.
 
 The template marks turns with ``<|im_start|>`` and ``<|im_end|>``.  Inside a
 text every ``<`` + backslashes + ``|`` gets one backslash more, so no control
@@ -17,8 +24,9 @@ conversation with very many turns is never held in memory at once.
 Defined cases: a null text or role counts as empty; rows with a null
 conversation id form one conversation; ties in ``turn`` are ordered by role,
 then text, null turns first; repeated rows are turns of their own; a
-conversation without an assistant turn has no example.  Other columns are not
-read.
+conversation without an assistant turn has no example, only a rest; very long
+texts are rows of their length; an empty table gives no rows.  Other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -29,9 +37,10 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import table
+from fundlake.llm.common import batch_rows, slices, table, written
 
 START, END = "<|im_start|>", "<|im_end|>\n"
+DEAL = 16                    # neighbouring turns of a conversation that one task expands
 
 
 def escaped(text: Column) -> Column:
@@ -53,8 +62,9 @@ def unescape_role(role: str) -> str:
 
 def format_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                  role_col: str = "role", text_col: str = "text", target: str = "assistant") -> DataFrame:
-    """One row per turn: (conv_id, pos, segment, start, end, example,
-    loss_start, loss_end); offsets in code points of the transcript.  The last
+    """One row per turn: (conv_id, pos, segment, start, end, first, n_examples,
+    example, loss_start, loss_end); offsets in code points of the transcript.
+    ``first``: the first example that the turn is in, of ``n_examples``.  The last
     three are null except for turns of the ``target`` role."""
     rows = turns.select(
         F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"),
@@ -70,66 +80,96 @@ def format_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     out = out.withColumns({
         "pos": F.row_number().over(by) - 1,
         "end": F.sum(F.length("segment").cast("long")).over(so_far),
-        "example": F.when(is_target, F.sum(is_target.cast("int")).over(so_far) - 1)})
+        "first": F.sum(is_target.cast("int")).over(so_far) - is_target.cast("int"),
+        "n_examples": F.sum(is_target.cast("int")).over(Window.partitionBy("conv_id"))})
     out = out.withColumn("start", F.col("end") - F.length("segment"))
     return out.select(
-        "conv_id", "pos", "segment", "start", "end", "example",
+        "conv_id", "pos", "segment", "start", "end", "first", "n_examples", F.when(is_target, F.col("first")).alias("example"),
         F.when(is_target, F.col("start") + F.length("head")).alias("loss_start"),
         F.when(is_target, F.col("end") - len(END)).alias("loss_end"))
 
 
+def expand(formatted: DataFrame) -> DataFrame:
+    """(conv_id, example, pos, piece, start, loss_start, loss_end, closing): every
+    example, piece by piece; offsets are those of the example's text.
+
+    The mask stands on the piece of the reply alone.  ``example`` is null for
+    the rest.  ``closing``: a piece of the conversation's last example, which
+    holds every turn up to the last reply.
+    """
+    dealt = formatted.repartition("conv_id", F.floor(F.col("pos") / DEAL))
+    of = F.when(F.col("first") < F.col("n_examples"), F.sequence(F.col("first"), F.col("n_examples") - 1))
+    rows = dealt.select("*", F.explode_outer(of).alias("_of"))
+    own = F.col("_of") == F.col("example")
+    return rows.select(
+        "conv_id", F.col("_of").alias("example"), "pos", F.col("segment").alias("piece"), "start",
+        F.when(own, F.col("loss_start")).alias("loss_start"), F.when(own, F.col("loss_end")).alias("loss_end"),
+        F.coalesce(F.col("_of") == F.col("n_examples") - 1, F.lit(False)).alias("closing"))
+
+
 def examples(formatted: DataFrame) -> DataFrame:
-    """(conv_id, example, text, loss_start, loss_end): every example with its
-    whole context.  The output grows with the square of a conversation's
-    length, as the expansion does; rows stay independent."""
-    so_far = Window.partitionBy("conv_id").orderBy("pos").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (formatted.withColumn("text", F.array_join(F.collect_list("segment").over(so_far), ""))
-            .where("example is not null").select("conv_id", "example", "text", "loss_start", "loss_end"))
+    """(conv_id, example, text, loss_start, loss_end): the pieces of each example
+    joined to one text.  A task holds one example at a time."""
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"])
+    return (expand(formatted).where("example is not null").groupBy("conv_id", "example")
+            .agg(F.array_join(pieces, "").alias("text"), F.max("loss_start").alias("loss_start"),
+                 F.max("loss_end").alias("loss_end")))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Per conversation, from the formatted rows alone: n_turns, turns_sha256,
-    loss_chars, loss_sha256, formatted_chars (of all examples).
+    """Per conversation: n_turns, turns_sha256, loss_chars, loss_sha256,
+    formatted_chars (of all examples), read from the written examples.
 
-    Turns stream through running digests in order; nothing is collected.
+    Lengths are summed over all pieces.  Turns are digested from the last example
+    and the rest, replies from the masked pieces, both as a stream in order; nothing
+    is collected.
     """
-    kind = formatted.schema["conv_id"].dataType.simpleString()
+    with batch_rows(formatted.sparkSession):
+        return written(_figures(written(expand(formatted), "chat-examples")), "chat-figures")
+
+
+def _figures(out: DataFrame) -> DataFrame:
+    kind = out.schema["conv_id"].dataType.simpleString()
     form = re.compile(re.escape(START) + r"([^\n]*)\n(.*)" + re.escape(END), re.S)
 
     def run(batches):
         import pyarrow as pa
-        now = None                     # [conv_id, turns, digest, loss, digest, chars]
+        now = None                     # [conv_id, turns, digest, loss, digest]
 
         def told():
-            c, n, d, loss, ld, chars = now
+            c, n, d, loss, ld = now
             return pa.RecordBatch.from_pydict({
-                "conv_id": pa.array([c], conv_type), "n_turns": [n], "turns_sha256": [d.hexdigest()],
-                "loss_chars": [loss], "loss_sha256": [ld.hexdigest()], "formatted_chars": [chars]})
+                "conv": pa.array([c], conv_type), "n_turns": [n], "turns_sha256": [d.hexdigest()],
+                "loss_chars": [loss], "loss_sha256": [ld.hexdigest()]})
 
         conv_type = None
-        for b in batches:
+        for b in slices(batches):
             conv_type = b.schema.field(0).type
-            for c, segment, start, end, a, z in zip(*(x.to_pylist() for x in b.columns)):
+            for c, piece, start, a, z, turn in zip(*(x.to_pylist() for x in b.columns)):
                 if now is None or c != now[0]:
                     if now is not None:
                         yield told()
-                    now = [c, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                role, body = form.fullmatch(segment).groups()
-                now[1] += 1
-                now[2].update(f"{unescape_role(role)}\n{unescape(body)}\n".encode())
+                    now = [c, 0, hashlib.sha256(), 0, hashlib.sha256()]
+                if turn:
+                    role, body = form.fullmatch(piece).groups()
+                    now[1] += 1
+                    now[2].update(f"{unescape_role(role)}\n{unescape(body)}\n".encode())
                 if a is not None:
-                    reply = unescape(segment[a - start:z - start])
+                    reply = unescape(piece[a - start:z - start])
                     now[3] += len(reply)
                     now[4].update(reply.encode())
-                    now[5] += end
         if now is not None:
             yield told()
 
-    return (formatted.repartition("conv_id").sortWithinPartitions("conv_id", "pos")
-            .select("conv_id", "segment", "start", "end", "loss_start", "loss_end")
-            .mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, "
-                             "loss_sha256 string, formatted_chars long"))
+    turn = F.col("closing") | F.col("example").isNull()
+    stream = (out.where(turn | F.col("loss_start").isNotNull()).withColumn("turn", turn)
+              .repartition("conv_id").sortWithinPartitions("conv_id", "pos", "example")
+              .select("conv_id", "piece", "start", "loss_start", "loss_end", "turn")
+              .mapInArrow(run, f"conv {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string"))
+    sizes = out.groupBy("conv_id").agg(F.coalesce(F.sum(F.when(F.col("example").isNotNull(), F.length("piece").cast("long"))),
+                                                  F.lit(0)).alias("formatted_chars"))
+    return stream.join(sizes, F.col("conv").eqNullSafe(F.col("conv_id"))).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,3 +66,43 @@ def test_escape_is_reversible(spark, texts):
     for row in got:
         assert "<|" not in row.e and "<|" not in row.r and "\n" not in row.r
         assert chat.unescape(row.e) == texts[row.i] and chat.unescape_role(row.r) == texts[row.i]
+
+
+def test_expansion_is_prefix_by_prefix(spark):
+    rows = [(c, k, "assistant" if (k * c) % 3 == 2 else "user", f"{c}/{k} <|x|>" * (k % 4)) for c in range(5) for k in range(9)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    f = chat.format_turns(df)
+    segments = {(r.conv_id, r.pos): r.segment for r in f.collect()}
+    out = chat.expand(f).collect()
+    want = set()
+    for c in range(5):
+        ends = [k for k in range(9) if (k * c) % 3 == 2]
+        for e, end in enumerate(ends):
+            want |= {(c, e, k, segments[c, k]) for k in range(end + 1)}
+        want |= {(c, None, k, segments[c, k]) for k in range((ends or [-1])[-1] + 1, 9)}
+    assert len(out) == len(want) and {(r.conv_id, r.example, r.pos, r.piece) for r in out} == want
+    masked = [r for r in out if r.loss_start is not None]
+    assert len(masked) == sum((k * c) % 3 == 2 for c in range(5) for k in range(9))
+    for r in masked:
+        assert chat.unescape(r.piece[r.loss_start - r.start:r.loss_end - r.start]) == f"{r.conv_id}/{r.pos} <|x|>" * (r.pos % 4)
+
+
+def test_a_long_conversation_is_dealt_to_many_tasks(spark):
+    n = 400
+    df = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+                               F.when(F.col("id") % 2 == 1, "assistant").otherwise("user").alias("role"),
+                               F.concat(F.lit("turn "), "id").alias("text"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        f = chat.format_turns(df)
+        out = chat.expand(f)
+        assert out.count() == sum(k + 1 for k in range(1, n, 2))
+        assert out.select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    got = chat.read_back(f).first()
+    turns = [("assistant" if k % 2 else "user", f"turn {k}") for k in range(n)]
+    assert (got.n_turns, got.turns_sha256, got.loss_chars, got.loss_sha256) == want(turns)
+    lengths = [len(r.segment) for r in f.orderBy("pos").collect()]
+    assert got.formatted_chars == sum(sum(lengths[:k + 1]) for k in range(1, n, 2))
