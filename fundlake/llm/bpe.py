@@ -2,9 +2,11 @@
 
 1. Texts are split into words (pre-tokens) inside Spark tasks, by vector
    operations on code points; the words of a text are a partition of it.
-2. Documents are dealt into blocks by their id.  Each block sends its distinct
-   words, grouped by word hash, to the tasks of the word table; there every
-   distinct word of the corpus is encoded once.
+2. Rows are dealt into blocks of bounded rows and bytes by their number, so rows
+   that repeat are spread.  Each block sends its distinct words, in ``PARTS`` chunks
+   by word hash, to the tasks of the word table.  ``GROUP_BLOCKS`` blocks share a
+   word table, in which every distinct word is encoded once; the chunks grow in
+   proportion to the blocks, whatever the corpus size.
 3. The ids return to the blocks and are joined back by word position.
 
 Only distinct words travel, never word occurrences, and nothing is broadcast:
@@ -14,8 +16,11 @@ id-to-piece table (bounded by the vocabulary) and concatenates the pieces.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text;
 null ids and repeated rows are encoded row by row; a special token's string in
-a text becomes that token, as the library does by default.  Only the id and
-text columns are read, so other columns can't clash.
+a text becomes that token, as the library does by default; a very long text is
+encoded whole and fills its block; an empty table gives no rows.  Only the id and
+text columns are read, so other columns can't clash.  Rows must come in the
+same order when they are read again, as those of a written table do; a block
+whose words differ is an error.
 """
 
 from __future__ import annotations
@@ -32,6 +37,9 @@ from pyspark.sql import functions as F
 from fundlake.llm.common import give_back, per_worker, small_batches, table
 
 BLOCK_ROWS = 5120
+BLOCK_BYTES = 12_000_000     # of text; on average, as rows are dealt by hash
+GROUP_BLOCKS = 512           # blocks that share a word table
+PARTS = 64                   # tasks of a word table, and chunks of a block's words
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 # The splitter's contractions and white space.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -169,26 +177,33 @@ def _plain(texts):
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
         if isinstance(texts, pa.ChunkedArray):
+            if texts.num_chunks > 1:
+                raise ValueError("a block holds over 2 GB of text: use a smaller block_rows")
             texts = texts.chunk(0) if texts.num_chunks else pa.array([], pa.string())
     return pc.fill_null(texts.cast(pa.string()), "")
 
 
+def _by_part(part: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
+    """(part, its words in order) of every part that has words."""
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    return [(int(p), order[edges[p]:edges[p + 1]]) for p in np.flatnonzero(np.diff(edges))]
+
+
 def block_words(docs: DataFrame, parts: int) -> DataFrame:
-    """(part, block, words): each block's distinct words by hash part; rows of
-    a block arrive together, sorted by block."""
+    """(slot, block, words): each block's distinct words by hash part, of the word
+    table of its group; rows of a block arrive together, sorted by block."""
     def run(batches):
         import pyarrow as pa
         held, block = [], None
 
         def flush():
             listed, part, _, _ = _distinct(_plain(pa.chunked_array(held)), parts)
-            order = np.argsort(part, kind="stable")
-            edges = np.searchsorted(part[order], np.arange(parts + 1))
-            for p in np.flatnonzero(np.diff(edges)):
-                own = [listed[i] for i in order[edges[p]:edges[p + 1]]]
+            for p, own in _by_part(part, parts):
                 yield pa.RecordBatch.from_pydict(
-                    {"part": pa.array([p], pa.int32()), "block": pa.array([block], pa.int64()),
-                     "words": pa.array([_pack(own)], pa.binary())})
+                    {"slot": pa.array([block // GROUP_BLOCKS * parts + p], pa.int64()),
+                     "block": pa.array([block], pa.int64()),
+                     "words": pa.array([_pack([listed[i] for i in own])], pa.binary())})
 
         for b in batches:
             ids = b.column(0).to_numpy()
@@ -207,14 +222,14 @@ def block_words(docs: DataFrame, parts: int) -> DataFrame:
     # The id is not used here; with it the shuffled rows are those that the
     # join reads, and Spark shuffles the texts once for both.
     return docs.sortWithinPartitions("block").select("block", "text", "id") \
-        .mapInArrow(run, "part int, block long, words binary")
+        .mapInArrow(run, "slot long, block long, words binary")
 
 
-def word_table(chunks: DataFrame, path: str, parts: int) -> DataFrame:
+def word_table(chunks: DataFrame, path: str, parts: int, groups: int) -> DataFrame:
     """(block, part, ids): the ids of each chunk's words, in the words' order.
 
-    All chunks of a part meet in one task, which encodes each distinct word of
-    the part once.
+    All chunks of a group's part meet in one task, which encodes each distinct
+    word of them once.
     """
     def run(batches):
         import pyarrow as pa
@@ -224,7 +239,7 @@ def word_table(chunks: DataFrame, path: str, parts: int) -> DataFrame:
         for b in batches:
             for p, block, packed in zip(*(c.to_pylist() for c in b.columns)):
                 if p != part:
-                    known, part = {}, p
+                    known, part = {}, p            # p: group and part
                 words = _unpack(packed)
                 new = [w for w in words if w not in known]
                 if new:
@@ -235,10 +250,10 @@ def word_table(chunks: DataFrame, path: str, parts: int) -> DataFrame:
                 flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
                 raw = zstandard.compress(sizes.tobytes() + flat.view(np.uint8).reshape(-1, 4).T.tobytes(), 6)
                 yield pa.RecordBatch.from_pydict(
-                    {"block": pa.array([block], pa.int64()), "part": pa.array([p], pa.int32()),
+                    {"block": pa.array([block], pa.int64()), "part": pa.array([p % parts], pa.int32()),
                      "n": pa.array([len(words)], pa.int32()), "ids": pa.array([raw], pa.binary())})
 
-    return chunks.repartition(parts, "part").sortWithinPartitions("part").select("part", "block", "words") \
+    return chunks.repartition(groups * parts, "slot").sortWithinPartitions("slot").select("slot", "block", "words") \
         .mapInArrow(run, "block long, part int, n int, ids binary")
 
 
@@ -255,12 +270,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = small_batches(docs).sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(shuffled, -(-docs.count() // block_rows))
-    parts = max(shuffled, blocks // 8)
-    by = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.length(F.col(text_col))), F.lit(blocks))
+    text = F.col(text_col).cast("string")
+    rows, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text).cast("long")), F.lit(0))).first()
+    blocks = max(shuffled, -(-rows // block_rows), -(-size // BLOCK_BYTES))
+    parts, groups = PARTS, -(-blocks // GROUP_BLOCKS)
+    by = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
     dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                         by.alias("block")).repartition(blocks, "block")
-    coded = word_table(block_words(dealt, parts), path, parts)
+    coded = word_table(block_words(dealt, parts), path, parts, groups)
 
     def join_back(left, right):
         import pyarrow as pa
@@ -268,10 +285,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         texts = _plain(left.column("text"))
         listed, part, index, first = _distinct(texts, parts)
         sizes = np.zeros(len(listed), np.int64)
-        flats = {}
+        owned, flats = dict(_by_part(part, parts)), {}
         for p, n, raw in zip(right.column("part").to_pylist(), right.column("n").to_pylist(),
                              right.column("ids").to_pylist()):
-            own = np.flatnonzero(part == p)
+            own = owned.get(p, ())
             if len(own) != n:
                 raise ValueError("a block's words changed between two reads of its rows")
             raw = zstandard.decompress(raw)
@@ -281,8 +298,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         del listed
         starts = np.concatenate([[0], np.cumsum(sizes)])
         flat = np.zeros(starts[-1], np.int32)
+        if flats.keys() != owned.keys():
+            raise ValueError("a block's words did not all come back")
         for p, ids in flats.items():
-            own = np.flatnonzero(part == p)
+            own = owned[p]
             n = sizes[own]
             flat[np.repeat(starts[own] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(len(ids))] = ids
         per_word = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat))

@@ -35,7 +35,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a frame that ``written`` gave, once nothing reads it."""
+    spark = df.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(df._written_at)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -229,10 +229,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     shared = min(shared, nearest, max(1, len(pivots)))
     index = written(permutations(vectors, pivots, id_col, vec_col, label_col, nearest), "pivot-index")
     found = written(compare(index, stored_as(vectors, vec_col), min_cosine, shared, block), "pivot-links")
-    counts = found.where("other is null").groupBy("row").agg(F.sum("n").alias("n_links"))
+    counts = found.where("other is null").groupBy("row").agg(F.sum("n").alias("n_links"))     # a row per vector
     roots = components(found.where("other is not null").select(F.col("row").alias("u"), F.col("other").alias("v")))
-    named = index.select("row", "id").join(roots, F.col("row") == F.col("node")).select("row", "id", "root")
-    lows = named.groupBy("root").agg(F.min("id").alias("low"))
+    # Written, so that the join on a large component's root can be split.
+    named = written(index.select("row", "id").join(roots, F.col("row") == F.col("node")).select("row", "id", "root"), "pivot-named")
+    lows = written(named.groupBy("root").agg(F.min("id").alias("low")), "pivot-lows")
     linked = (named.join(lows, "root").join(counts, "row")
               .select("row", "n_links", "low"))
     return index.select("row", "id").join(linked, "row", "left").select(

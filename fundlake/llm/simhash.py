@@ -166,7 +166,7 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> Dat
     if max_bits > 3:
         raise ValueError("five blocks prove links of at most three bits")
     keyed = nodes.select("fp", F.explode(block_keys(F.col("fp"))).alias("e")).select("fp", "e.*")
-    sizes = keyed.groupBy("k", "key").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = written(keyed.groupBy("k", "key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-sizes")
     dealt = keyed.join(sizes, ["k", "key"]).withColumn(
         "parts", F.ceil(F.col("n") / chunk).cast("int"))
     mine = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
@@ -199,9 +199,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest id reachable over links, the row's own included."""
     fps = written(fingerprints(docs, id_col, text_col, shingle_words), "simhash-fp")
     nodes = written(fps.groupBy("fp").agg(F.min("id").alias("low")), "simhash-nodes")
-    found = rooted(nodes, max_bits)
-    lows = found.groupBy("root").agg(F.min("low").alias("component"))
-    named = found.select("fp", "root").join(lows, "root").select("fp", "component")
+    # Written, so that joins on a large component's root or a frequent fingerprint can be split.
+    found = written(rooted(nodes, max_bits), "simhash-rooted")
+    lows = written(found.groupBy("root").agg(F.min("low").alias("component")), "simhash-lows")
+    named = written(found.select("fp", "root").join(lows, "root").select("fp", "component"), "simhash-named")
     return fps.join(named, "fp").select("id", "fp", "component")
 
 

@@ -3,7 +3,9 @@ import random
 
 import pyarrow as pa
 
-from fundlake.llm import bpe
+from pyspark.sql import functions as F
+
+from fundlake.llm import bpe, common
 from tests.llm.helpers import SF, documents, sf
 
 
@@ -63,3 +65,32 @@ def test_invalid_bytes_decode_to_replacement(spark):
     df = spark.createDataFrame([(1, half), (2, None)], "id long, ids array<int>")
     got = {r.id: r.text for r in bpe.decode(df).collect()}
     assert got[2] == "" and got[1].startswith("é") and "�" in got[1]
+
+
+def test_chunks_grow_with_the_blocks_and_repeats_are_spread(spark):
+    plain = "the quick brown fox and its 12 friends, all of them"
+    df = spark.range(4000).select(F.lit(1).alias("doc_id"), F.lit(plain).alias("text")).union(
+        spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), F.col("id")).alias("text")))
+    df = common.written(df, "bpe-test")
+    got = bpe.encode(df, block_rows=100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    n = {}
+    for rows in (100, 200):
+        blocks = -(-6000 // rows)
+        dealt = df.select("text", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).alias("block"),
+                          F.col("doc_id").alias("id")).repartition(blocks, "block")
+        n[rows] = bpe.block_words(dealt, 8).count()
+        sizes = [r["count"] for r in dealt.groupBy("block").count().collect()]
+        assert max(sizes) < 2 * rows                            # one row for two thirds of the table makes no large block
+    assert n[100] <= 2 * n[200] and "Python" not in plan.split("FlatMapCoGroupsInArrow")[0]
+    ids = reference(plain)[0]
+    rows = got.collect()
+    assert len(rows) == 6000 and sum(r.ids == ids for r in rows) == 4000
+    assert all(r.ids == ids or r.ids == reference(f"word{r.id}")[0] for r in rows)
+
+
+def test_several_word_tables(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "GROUP_BLOCKS", 3)
+    df = sf(spark, "documents")
+    got = {r.id: r.ids for r in bpe.encode(df, block_rows=20).collect()}
+    assert got == {r.doc_id: reference(r.text)[0] for r in df.collect()}

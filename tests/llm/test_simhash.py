@@ -1,6 +1,8 @@
 import numpy as np
 from xxhash import xxh64_intdigest
 
+from pyspark.sql import functions as F
+
 from fundlake.llm import graph, simhash
 from tests.llm.helpers import SF, documents, sf
 
@@ -107,3 +109,31 @@ def test_repeated_and_null_ids_lose_no_text_and_leave_no_copies(spark):
     kept = simhash.keep_one(documents(spark, rows))
     assert sorted(((r.doc_id, r.text.strip()) for r in kept.collect()), key=str) == sorted(
         [(5, a), (5, b), (7, c), (None, c), (None, d)], key=str)
+
+
+def test_a_hub_s_links_are_split_in_the_final_plans(spark, monkeypatch):
+    """Half of all links at one node: every join that reads them is split."""
+    n = 60_000
+    df = spark.range(1, n).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") * 1000).alias("u"),
+                                  (F.col("id") * 1000 + 1).alias("v"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        e = graph.written(df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "hub")
+        for stars, links in ((graph._large_star, graph._both_ways(e)), (graph._small_star, e)):
+            if stars is graph._small_star:
+                e = graph.written(e.select(F.when(F.col("v") == 0, F.lit(10 ** 9)).otherwise(F.col("u")).alias("u"), F.when(
+                    F.col("v") == 0, F.col("u")).otherwise(F.col("v")).alias("v")), "hub-up")
+                links = e
+            out = stars(e, graph._lows(links))
+            out.collect()
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString(), stars
+        got = {r.root for r in graph.components(df.where("u = 0")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == {0}
