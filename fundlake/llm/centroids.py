@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import table, written
+from fundlake.llm.common import matrix, table, written
 
 SCALE = 1024
 DIM = 64
@@ -83,16 +83,6 @@ def integer_vectors(vectors: DataFrame, id_col: str, vec_col: str, dim: int = DI
         run, f"id {kind}, q binary, big array<string>")
 
 
-def matrix(column, dtype: str, width: int) -> np.ndarray:
-    """A binary column without nulls, whose values have equal lengths, as rows of numbers."""
-    import pyarrow as pa
-    if not len(column):
-        return np.zeros((0, width), dtype)
-    ends = np.frombuffer(column.buffers()[1], np.int32 if pa.types.is_binary(column.type) else np.int64)
-    ends = ends[column.offset:column.offset + len(column) + 1]
-    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(dtype).reshape(len(column), width)
-
-
 def principal_axes(kept: DataFrame, dim: int, leading: int) -> tuple[np.ndarray, np.ndarray]:
     """(mean, leading x dim orthonormal axes) of the narrow vectors, from sums
     over all of them.  Any axes give right bounds; these give close ones."""

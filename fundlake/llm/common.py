@@ -156,3 +156,14 @@ def slices(batches, rows: int = 512, chars: int = 4_000_000):
         if batch.num_rows > start:
             yield batch.slice(start)
     give_back()
+
+
+def matrix(column, dtype: str, width: int):
+    """A binary column without nulls, whose values have equal lengths, as rows of numbers."""
+    import numpy as np
+    import pyarrow as pa
+    if not len(column):
+        return np.zeros((0, width), dtype)
+    ends = np.frombuffer(column.buffers()[1], np.int32 if pa.types.is_binary(column.type) else np.int64)
+    ends = ends[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(dtype).reshape(len(column), width)

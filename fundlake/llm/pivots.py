@@ -1,12 +1,15 @@
 """Embedding near-duplicates through a pivot-permutation index.
 
-Pivots are vectors drawn from a bounded sample.  Every vector is described by
-its ``nearest`` closest pivots, in order.  An inverted list is kept for each
-ordered pair of leading pivots' first member, that is for each (label, pivot):
-it holds the vectors that have the pivot among their ``nearest``.  Two vectors
-are candidates when they meet in a list and share at least ``shared`` pivots,
-or all where there are fewer; candidates are verified by cosine in double
-precision.
+Equal vectors of a label are folded to one node first, so a large group of copies
+is one entry of each list; its copies' links follow from its size.
+
+Pivots are vectors drawn from a bounded sample, for each vector length apart.  Every
+vector is described by its ``nearest`` closest pivots, in order.  An inverted list
+is kept for each (label, pivot): it holds the vectors that have the pivot among
+their ``nearest``.  Two vectors are candidates when they meet in a list and share
+at least ``shared`` pivots, or all where there are fewer; candidates are verified
+by cosine in double precision.  All vectors of a label that have a length without
+pivots (rare ones, as the sample has none of them) form one list.
 
 A pair may meet in several lists; it is counted only in the list of the
 smallest pivot that both vectors hold, which either side can tell by itself.
@@ -22,11 +25,11 @@ out, so vectors that share a direction may leave few.  With up to
 2 x ``nearest`` - ``shared`` pivots every two vectors of a label are
 candidates: no link is missed, but the work grows with the square of a label.
 
-Defined cases: a vector that is null, zero, of another length than most
-sampled vectors, or that holds a null, NaN or infinite component links with
-nothing; so does a null label.  Repeated rows (equal vectors) link with each
-other.  A null id is linked and counted but names no component.  Only the id,
-vector and label columns are read.
+Defined cases: a vector that is null, empty, zero, or that holds a null, NaN or
+infinite component links with nothing; so does a null label.  Vectors link only
+with vectors of their length.  Repeated rows (equal vectors) link with each
+other.  A null id is linked and counted but names no component.  An empty table
+gives no rows.  Only the id, vector and label columns are read.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import hashed_sample, table, written
+from fundlake.llm.common import hashed_sample, matrix, table, written
 from fundlake.llm.graph import components
 from fundlake.llm.simhash import runs_of
 
@@ -50,36 +53,37 @@ MAX_PIVOTS = 4096
 BLOCK = 4096
 
 
-def unit_rows(vectors, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """(unit vectors as float64, which rows are usable)."""
-    out = np.zeros((len(vectors), dim))
-    ok = np.zeros(len(vectors), bool)
-    for i, v in enumerate(vectors):
-        if v is not None and len(v) == dim:
-            x = np.array([np.nan if c is None else c for c in v] if isinstance(v, list) else v, np.float64)
-            if np.isfinite(x).all():
-                top = np.abs(x).max()
-                if top > 0:
-                    x = x / top
-                    out[i] = x / math.sqrt(float(x @ x))
-                    ok[i] = True
-    return out, ok
+def unit_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit vectors as float64, which rows are usable) of rows of numbers."""
+    x = x.astype(np.float64)
+    top = np.abs(x).max(axis=1, initial=0)
+    ok = np.isfinite(top) & (top > 0)
+    x[~ok] = 0
+    x[ok] /= top[ok, None]
+    x[ok] /= np.sqrt(np.einsum("ij,ij->i", x[ok], x[ok]))[:, None]
+    return x, ok
 
 
 def fit_pivots(vectors: DataFrame, vec_col: str, n_rows: int, min_pivots: int = MIN_PIVOTS,
                max_pivots: int = MAX_PIVOTS) -> np.ndarray:
-    """Unit pivots: the usable sampled vectors with the smallest hashes, no
-    two equal, at most ``max_pivots`` rows on the driver."""
+    """The pivots of the commonest length (see ``pivots_by_length``)."""
+    found = pivots_by_length(vectors, vec_col, n_rows, min_pivots, max_pivots)
+    return max(found.values(), key=len, default=np.zeros((0, 1)))
+
+
+def pivots_by_length(vectors: DataFrame, vec_col: str, n_rows: int, min_pivots: int = MIN_PIVOTS,
+                     max_pivots: int = MAX_PIVOTS) -> dict[int, np.ndarray]:
+    """Length -> unit pivots: the usable sampled vectors with the smallest hashes,
+    no two equal, at most ``max_pivots`` rows on the driver."""
     n = min(max_pivots, max(min_pivots, int(4 * math.sqrt(max(n_rows, 1)))))
     known = vectors.select(F.col(vec_col).alias("v")).where(
         F.forall("v", lambda c: F.abs(c.cast("double")) < float("inf")) & F.exists("v", lambda c: c != 0))
     rows = hashed_sample(known, F.xxhash64("v", F.lit(7)), n).orderBy("h").collect()
-    if not rows:
-        return np.zeros((0, 1))
-    sizes = [len(r.v) for r in rows]
-    dim = max(set(sizes), key=sizes.count)
-    unit, ok = unit_rows([r.v for r in rows], dim)
-    return spread_out(np.unique(unit[ok], axis=0))
+    out = {}
+    for dim in sorted({len(r.v) for r in rows}):
+        unit, ok = unit_rows(np.array([r.v for r in rows if len(r.v) == dim], np.float64))
+        out[dim] = spread_out(np.unique(unit[ok], axis=0))
+    return out
 
 
 def spread_out(unit: np.ndarray, max_cosine: float = MAX_PIVOT_COSINE) -> np.ndarray:
@@ -99,49 +103,81 @@ def stored_as(vectors: DataFrame, vec_col: str) -> str:
     return "<f4" if vectors.schema[vec_col].dataType.elementType.typeName() == "float" else "<f8"
 
 
-def permutations(vectors: DataFrame, pivots: np.ndarray, id_col: str, vec_col: str, label_col: str,
+def permutations(vectors: DataFrame, pivots: dict[int, np.ndarray], id_col: str, vec_col: str, label_col: str,
                  nearest: int = NEAREST) -> DataFrame:
     """(row, id, label, x, near): a key for the row, the vector's bytes as it
-    was given and the ordered nearest pivots; both null where the row can't
-    link."""
+    was given and the numbers of its nearest pivots; both null where the row can't
+    link.  Pivots of all lengths are numbered in one row; a length without any
+    has the negative length as its only one."""
     kind = vectors.schema[id_col].dataType.simpleString()
     label = vectors.schema[label_col].dataType.simpleString()
-    dim, dtype = pivots.shape[1], stored_as(vectors, vec_col)
-    k = min(nearest, len(pivots))
+    dtype = stored_as(vectors, vec_col)
+    base, n = {}, 0
+    for dim, rows in pivots.items():
+        base[dim], n = n, n + len(rows)
+
+    def described(unit: np.ndarray, dim: int) -> np.ndarray:
+        own = pivots.get(dim, ())
+        k = min(nearest, len(own))
+        if not k:
+            return np.full((len(unit), 1), -dim, np.int32)
+        near = np.zeros((len(unit), k), np.int32)
+        for a in range(0, len(unit), 2048):
+            d = unit[a:a + 2048] @ own.T
+            top = np.argpartition(-d, k - 1, axis=1)[:, :k]
+            order = np.argsort(-np.take_along_axis(d, top, 1), axis=1, kind="stable")
+            near[a:a + 2048] = np.take_along_axis(top, order, 1)
+        return near + base[dim]
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         for b in batches:
-            given = b.column(1).to_pylist()
-            unit, ok = unit_rows(given, dim)
-            near = np.zeros((len(unit), k), np.int32)
-            for a in range(0, len(unit) if k else 0, 2048):
-                d = unit[a:a + 2048] @ pivots.T
-                top = np.argpartition(-d, k - 1, axis=1)[:, :k]
-                order = np.argsort(-np.take_along_axis(d, top, 1), axis=1, kind="stable")
-                near[a:a + 2048] = np.take_along_axis(top, order, 1)
-            ok &= b.column(2).is_valid().to_numpy(zero_copy_only=False) & (k > 0)
+            sizes = pc.fill_null(pc.list_value_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+            flat = b.column(1).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)     # null: NaN
+            starts = np.cumsum(sizes) - sizes
+            labelled = b.column(2).is_valid().to_numpy(zero_copy_only=False)
+            left = np.ones(b.num_rows, bool)
+            for dim in np.unique(sizes[(sizes > 0) & labelled]).tolist():
+                at = np.flatnonzero((sizes == dim) & labelled)
+                x = flat[starts[at, None] + np.arange(dim)]
+                unit, ok = unit_rows(x)
+                at, near = at[ok], described(unit[ok], dim)
+                left[at] = False
+                raw = x[ok].astype(dtype)
+                yield pa.RecordBatch.from_arrays([
+                    b.column(0).take(pa.array(at)), b.column(2).take(pa.array(at)),
+                    pa.array([v.tobytes() for v in raw], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * near.shape[1]),
+                                             pa.array(near.reshape(-1)))], ["id", "label", "x", "near"])
+            at = np.flatnonzero(left)
             yield pa.RecordBatch.from_arrays([
-                b.column(0), b.column(2),
-                pa.array([np.array(given[i], dtype).tobytes() if ok[i] else None for i in range(len(ok))],
-                         pa.binary()),
-                pa.array([near[i].tolist() if ok[i] else None for i in range(len(ok))], pa.list_(pa.int32()))],
-                ["id", "label", "x", "near"])
+                b.column(0).take(pa.array(at)), b.column(2).take(pa.array(at)), pa.nulls(len(at), pa.binary()),
+                pa.nulls(len(at), pa.list_(pa.int32()))], ["id", "label", "x", "near"])
 
     found = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"), F.col(label_col).alias("label")) \
         .mapInArrow(run, f"id {kind}, label {label}, x binary, near array<int>")
     return found.select(F.monotonically_increasing_id().alias("row"), "*")
 
 
+def folded(index: DataFrame) -> DataFrame:
+    """(row, label, x, near, weight): one node for all equal vectors of a label;
+    ``row`` is the smallest of its rows, ``weight`` their number."""
+    return index.where("x is not null").groupBy("label", "x").agg(
+        F.min("row").alias("row"), F.first("near").alias("near"), F.count(F.lit(1)).alias("weight"))
+
+
 def walk(x: np.ndarray, near: np.ndarray, pivot: int, side: np.ndarray | None, min_cosine: float,
-         shared: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Link counts of the rows of one list and a spanning forest.
+         shared: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Link counts (by ``weight``) of the rows of one list and a spanning forest.
 
     ``side``: with two blocks, only pairs across them are counted (a block's
     own pairs are counted where it is compared with itself).
     """
     n = len(x)
-    held = near.max() + 1
+    known, near = np.unique(near, return_inverse=True)          # only the pivots met here
+    near, pivot = near.reshape(n, -1), int(np.searchsorted(known, pivot))
+    held, shared = len(known), min(shared, near.shape[1])
     links = np.zeros(n, np.int64)
     left, right = [], []
     parent = np.arange(n)
@@ -169,7 +205,8 @@ def walk(x: np.ndarray, near: np.ndarray, pivot: int, side: np.ndarray | None, m
             p, q = i[c:c + (1 << 16)] + a, j[c:c + (1 << 16)] + a
             hit = np.einsum("ij,ij->i", x[p], x[q]) >= min_cosine
             p, q = p[hit], q[hit]
-            links += np.bincount(p, minlength=n) + np.bincount(q, minlength=n)
+            np.add.at(links, p, weight[q])
+            np.add.at(links, q, weight[p])
             for u, v in zip(p.tolist(), q.tolist()):
                 ru, rv = root(u), root(v)
                 if ru != rv:
@@ -179,37 +216,45 @@ def walk(x: np.ndarray, near: np.ndarray, pivot: int, side: np.ndarray | None, m
     return links, np.array(left, np.int64), np.array(right, np.int64)
 
 
+def whole(column):
+    """A table's column as one array."""
+    import pyarrow as pa
+    one = column.combine_chunks()
+    return one.chunk(0) if isinstance(one, pa.ChunkedArray) else one
+
+
 def compare(index: DataFrame, dtype: str, min_cosine: float = MIN_COSINE, shared: int = SHARED,
             block: int = BLOCK) -> DataFrame:
     """(row, n, other): link counts (other is null) and spanning links (n is 0).
 
-    ``index``: the written rows of ``permutations``.  Only the lists over
+    ``index``: the written nodes of ``folded``.  Only the lists over
     ``block`` vectors are joined back (they are few, and written, so the
     planner knows their size); every vector travels once for each of its lists.
     """
     lists = index.where("x is not null").select("label", F.explode("near").alias("pivot"))
     large = written(lists.groupBy("label", "pivot").agg(F.count("*").alias("size")).where(F.col("size") > block),
                     "pivot-large-lists")
-    keyed = index.where("x is not null").select("row", "label", "x", "near", F.explode("near").alias("pivot"))
+    keyed = index.where("x is not null").select("row", "label", "x", "near", "weight", F.explode("near").alias("pivot"))
     dealt = keyed.join(large, ["label", "pivot"], "left").withColumn(
         "parts", F.coalesce(F.ceil(F.col("size") / block).cast("int"), F.lit(1)))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "label", "pivot", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"),
-        "mine", "row", "x", "near")
+        "mine", "row", "x", "near", "weight")
 
     def run(batches):
         import pyarrow as pa
         for group in runs_of(batches, ["label", "pivot", "a", "b"]):
             group = group.combine_chunks()
             rows = group.column("row").to_numpy()
-            x = np.frombuffer(b"".join(group.column("x").to_pylist()), dtype).reshape(len(rows), -1).astype(np.float64)
-            x /= np.abs(x).max(axis=1, keepdims=True)
-            x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
-            near = np.array(group.column("near").to_pylist(), np.int64)
+            raw, lists = whole(group.column("x")), whole(group.column("near"))
+            width = len(raw[0].as_py()) // np.dtype(dtype).itemsize         # lists hold one length
+            x, _ = unit_rows(matrix(raw, dtype, width))
+            near = lists.flatten().to_numpy().reshape(len(rows), -1).astype(np.int64)
+            weight = group.column("weight").to_numpy()
             a, b = group.column("a")[0].as_py(), group.column("b")[0].as_py()
             side = None if a == b else group.column("mine").to_numpy()
-            n, u, v = walk(x, near, group.column("pivot")[0].as_py(), side, min_cosine, shared)
+            n, u, v = walk(x, near, group.column("pivot")[0].as_py(), side, min_cosine, shared, weight)
             own = np.flatnonzero(n)
             if len(own):
                 yield pa.RecordBatch.from_arrays([
@@ -225,21 +270,24 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                     label_col: str = "label", min_cosine: float = MIN_COSINE, nearest: int = NEAREST,
                     shared: int = SHARED, block: int = BLOCK) -> DataFrame:
     """(id, n_links, component_id, kept): one row per input row."""
-    pivots = fit_pivots(vectors, vec_col, vectors.count())
-    shared = min(shared, nearest, max(1, len(pivots)))
+    pivots = pivots_by_length(vectors, vec_col, vectors.count())
     index = written(permutations(vectors, pivots, id_col, vec_col, label_col, nearest), "pivot-index")
-    found = written(compare(index, stored_as(vectors, vec_col), min_cosine, shared, block), "pivot-links")
-    counts = found.where("other is null").groupBy("row").agg(F.sum("n").alias("n_links"))     # a row per vector
+    nodes = written(folded(index), "pivot-nodes")
+    found = written(compare(nodes, stored_as(vectors, vec_col), min_cosine, shared, block), "pivot-links")
+    counts = found.where("other is null").groupBy("row").agg(F.sum("n").alias("n"))
     roots = components(found.where("other is not null").select(F.col("row").alias("u"), F.col("other").alias("v")))
-    # Written, so that the join on a large component's root can be split.
-    named = written(index.select("row", "id").join(roots, F.col("row") == F.col("node")).select("row", "id", "root"), "pivot-named")
+    # One row per node, written: joins on a large group of copies or a large
+    # component's root can then be split.
+    told = written(nodes.join(counts, "row", "left").join(roots, F.col("row") == F.col("node"), "left").select(
+        "label", "x", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+        F.coalesce("root", "row").alias("root")), "pivot-told")
+    named = written(index.where("x is not null").join(told, ["label", "x"]).select("row", "id", "root", "n_links"), "pivot-named")
     lows = written(named.groupBy("root").agg(F.min("id").alias("low")), "pivot-lows")
-    linked = (named.join(lows, "root").join(counts, "row")
-              .select("row", "n_links", "low"))
-    return index.select("row", "id").join(linked, "row", "left").select(
-        "id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("low")).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)))
+    linked = named.join(lows, "root").select("id", "n_links", "low")
+    alone = index.where("x is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("low"))
+    return linked.unionByName(alone).select(
+        "id", "n_links", F.col("low").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("low"), F.lit(False)).alias("kept"))
 
 
 def op5_embedding_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,3 +102,33 @@ def test_copies_take_no_place_in_the_sample(spark):
     assert sampled.count() == 30
     assert len(pivots.fit_pivots(table(spark, rows), "embedding", len(rows))) > 6
     whole(spark, rows)
+
+
+def test_copies_are_one_entry_of_each_list(spark):
+    rows = random_rows(120)
+    rows += [(1000 + i, rows[5][1], rows[5][2]) for i in range(80)]
+    index = pivots.permutations(table(spark, rows), pivots.pivots_by_length(table(spark, rows), "embedding", len(rows)),
+                                "vec_id", "embedding", "label")
+    nodes = pivots.folded(index).collect()
+    assert len(nodes) == 120 and max(r.weight for r in nodes) == 81 and sum(r.weight for r in nodes) == 200
+    got = {r.id: r.n_links for r in pivots.near_duplicates(table(spark, rows)).collect()}
+    want = {i: n for i, n, _ in brute(rows)}
+    assert all(got[i] <= want[i] for i in got) and got[1000] == got[5] >= 80
+    assert sum(got.values()) >= 0.9 * sum(want.values())
+
+
+def test_every_length_links_with_its_own(spark):
+    v = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0]
+    rows = [(i, v, 0) for i in range(3)] + [(10, v[:3], 0), (11, v[:3], 0), (12, [2.0, 4.0, 6.0], 0), (13, v[:3], 1), (20, [1.0], 0), (21, [3.0], 0)]
+    for known in (True, False):              # with and without a pivot of the rare lengths
+        df = table(spark, rows)
+        found = pivots.pivots_by_length(df, "embedding", len(rows))
+        if not known:
+            found = {8: found[8]}
+        index = pivots.written(pivots.permutations(df, found, "vec_id", "embedding", "label"), "test-index")
+        nodes = pivots.written(pivots.folded(index), "test-nodes")
+        linked = {r.row for r in pivots.compare(nodes, "<f4").where("other is null").collect()}
+        ids = {r.row: r.id for r in index.collect()}
+        assert {ids[r] for r in linked} >= {12, 20, 21} and 13 not in {ids[r] for r in linked}
+    got = {r.id: (r.n_links, r.component_id) for r in pivots.near_duplicates(table(spark, rows)).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 10: (2, 10), 11: (2, 10), 12: (2, 10), 13: (0, 13), 20: (1, 20), 21: (1, 20)}
