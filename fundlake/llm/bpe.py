@@ -37,9 +37,9 @@ from pyspark.sql import functions as F
 from fundlake.llm.common import give_back, per_worker, small_batches, table
 
 BLOCK_ROWS = 5120
-BLOCK_BYTES = 12_000_000     # of text; on average, as rows are dealt by hash
+BLOCK_BYTES = 20_000_000     # of text; on average, as rows are dealt by hash
 GROUP_BLOCKS = 512           # blocks that share a word table
-PARTS = 64                   # tasks of a word table, and chunks of a block's words
+PARTS = 32                   # tasks of a word table, and chunks of a block's words
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 # The splitter's contractions and white space.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
