@@ -3,14 +3,16 @@
 Totals by source, language and tokenizer version are kept as sums of signed
 batches.  A change is an insert (+new), a delete (-old) or a revision (-old
 and +new, which may also move a document to another group).  ``commit`` adds
-one batch's changes up by group and writes them as one folder of the rollup;
-a ledger entry written after it makes the batch count.  A batch id that is in
-the ledger is not applied again, and a batch whose writing broke off is
-overwritten when it is retried, so retries never count twice.
+one batch's changes up by group and writes them under a name of their own; a
+ledger entry that names this folder, moved into place after it, makes the batch
+count.  A batch id in the ledger is not applied again, what a broken-off writer
+left is never read, and as an entry names one folder, one of two writers of the
+same batch counts.
 
-``totals`` sums the ledger's batches; ``compact`` replaces them by one.  Sums
-are partial before the shuffle, so a source with a third of all rows is one
-small row of each task.
+``totals`` sums the ledger's batches: one scan of the folders, joined with the
+ledger's names, however many batches there are.  ``compact`` replaces them by
+one folder and one list of ids, in two writes.  Sums are partial before the
+shuffle, so a source with a third of all rows is one small row of each task.
 
 Defined cases: null source, language or version is a group of its own; a null
 count is 0 tokens (the document still counts); repeated change rows count as
@@ -20,6 +22,9 @@ out; without a batch there are no totals.  Other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +34,7 @@ from fundlake.session import shared_dir
 KEYS = ("source", "lang", "version")
 SIDE = "struct<source:string,lang:string,version:string,tokens:bigint>"
 STORED = "batch string, source string, lang string, version string, n_docs long, n_tokens long"
+LEDGER = "batch string, folder string"
 
 
 def side(source, lang, version, tokens):
@@ -62,49 +68,75 @@ class Rollup:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def batches(self) -> list[str]:
-        """The ids of the committed batches; a ledger entry is an empty file."""
-        fs, p = self._fs(f"{self.path}/ledger")
-        return sorted(bytes.fromhex(x.getPath().getName()).decode() for x in fs.listStatus(p)) if fs.exists(p) else []
+    def ledger(self) -> DataFrame:
+        """(batch, folder) of the committed batches.  ``ledger`` holds a file
+        for each batch, ``compacted`` the entries taken over by ``compact``."""
+        out = self.spark.createDataFrame([], LEDGER)
+        for part in ("ledger", "compacted"):
+            fs, p = self._fs(f"{self.path}/{part}")
+            if fs.exists(p):
+                lines = self.spark.read.schema(LEDGER).option("sep", "\t").csv(p.toString())
+                out = out.unionByName(lines.select(F.unhex("batch").cast("string").alias("batch"), "folder"))
+        return out
 
-    def _enter(self, batch: str) -> None:
-        fs, p = self._fs(f"{self.path}/ledger/{batch.encode().hex()}")
-        fs.create(p, True).close()
+    def batches(self) -> list[str]:
+        """The ids of the committed batches."""
+        return sorted(r.batch for r in self.ledger().select("batch").collect())
+
+    def _has(self, batch: str) -> bool:
+        fs, p = self._fs(f"{self.path}/ledger/{_entry(batch)}")
+        if fs.exists(p):
+            return True
+        fs, p = self._fs(f"{self.path}/compacted")
+        return fs.exists(p) and not self.ledger().where(F.col("batch") == batch).isEmpty()
+
+    def _enter(self, batch: str, folder: str) -> None:
+        """The ledger entry, written aside and moved: no reader sees half of it."""
+        fs, aside = self._fs(f"{self.path}/ledger/.{folder}")
+        out = fs.create(aside, True)
+        out.write(f"{batch.encode().hex()}\t{folder}\n".encode())
+        out.close()
+        if not fs.rename(aside, self._fs(f"{self.path}/ledger/{_entry(batch)}")[1]):
+            fs.delete(aside, False)                # another writer's entry stands
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Apply a batch of (old, new) changes; False if it already counts."""
-        if batch in self.batches():
+        if self._has(batch):
             return False
-        _added(signed(changes)).write.mode("overwrite").parquet(f"{self.path}/data/{batch.encode().hex()}")
-        self._enter(batch)
+        folder = f"b{uuid.uuid4().hex}"
+        _added(signed(changes)).write.parquet(f"{self.path}/batches/folder={folder}")
+        self._enter(batch, folder)
         return True
 
     def rows(self) -> DataFrame:
-        """The committed batches' rows."""
-        out = None
-        for b in self.batches():
-            part = self.spark.read.schema(STORED.partition(", ")[2]).parquet(f"{self.path}/data/{b.encode().hex()}")
-            part = part.select(F.lit(b).alias("batch"), "*")
-            out = part if out is None else out.unionByName(part)
-        return out if out is not None else self.spark.createDataFrame([], STORED)
+        """The committed batches' rows, in one scan."""
+        fs, p = self._fs(f"{self.path}/batches")
+        if not fs.exists(p):
+            return self.spark.createDataFrame([], STORED)
+        data = self.spark.read.schema(f"{STORED.partition(', ')[2]}, folder string").parquet(p.toString())
+        return data.join(self.ledger(), "folder").select("batch", *data.drop("folder").columns)
 
     def totals(self) -> DataFrame:
         return _added(self.rows())
 
     def compact(self, path: str) -> Rollup:
-        """A rollup under a new ``path`` with one batch's rows and the same
-        ledger; the old folder is left to its owner."""
+        """A rollup under a new ``path`` with one folder of rows, given to the
+        first batch, and the same ids; the old folder is left to its owner."""
         new = Rollup(self.spark, path)
-        names = self.batches()
-        if names:
-            for b in names:
-                part = self.totals() if b == names[0] else self.totals().limit(0)
-                part.write.mode("overwrite").parquet(f"{new.path}/data/{b.encode().hex()}")
-            for b in names:
-                new._enter(b)
+        first = self.ledger().agg(F.min("batch")).first()[0]
+        if first is not None:
+            folder = f"b{uuid.uuid4().hex}"
+            self.totals().write.parquet(f"{new.path}/batches/folder={folder}")
+            entries = self.ledger().select(F.hex(F.encode("batch", "utf-8")).alias("batch"),
+                                           F.when(F.col("batch") == first, folder).alias("folder"))
+            entries.write.mode("overwrite").option("sep", "\t").csv(f"{new.path}/compacted")
         return new
 
 
+def _entry(batch: str) -> str:
+    return hashlib.sha256(batch.encode()).hexdigest()
+
+
 # Two countings of a text: words, and runs of letters, single digits and signs.
 WORDS = r"[^\x20\x09-\x0D]+"
 PIECES = r"[A-Za-z]+|[0-9]|[^A-Za-z0-9\x20\x09-\x0D]"

@@ -56,3 +56,32 @@ def test_odd_rows_and_empty_batches(spark, tmp_path):
     extra = changes(spark, [(None, None), (None, (None, None, None, None))]).withColumn("n_docs", F.lit(5))
     assert r.commit("1", extra) and r.commit("2", changes(spark, []))
     assert totals(r) == {(None, None, None): (1, 0)}
+
+
+def test_two_writers_of_a_batch_count_once(spark, tmp_path):
+    r = R.Rollup(spark, str(tmp_path / "r"))
+    r.commit("1", changes(spark, [(None, A)]))
+    # Both passed the check before either had an entry: each wrote rows, one entry stands.
+    for folder in ("bone", "btwo"):
+        R._added(R.signed(changes(spark, [(None, B)]))).write.parquet(f"{r.path}/batches/folder={folder}")
+    r._enter("2", "bone")
+    r._enter("2", "btwo")
+    assert totals(r) == {("s", "en", "v1"): (1, 10), ("s", "en", "v2"): (1, 12)} and r.batches() == ["1", "2"]
+    # rows without an entry are not read
+    R._added(R.signed(changes(spark, [(None, B)]))).write.parquet(f"{r.path}/batches/folder=bthree")
+    assert totals(r) == {("s", "en", "v1"): (1, 10), ("s", "en", "v2"): (1, 12)}
+
+
+def test_many_batches_are_one_scan(spark, tmp_path):
+    r = R.Rollup(spark, str(tmp_path / "r"))
+    names = [f"batch {i} " + "x" * 300 for i in range(12)]
+    for n in names:
+        assert r.commit(n, changes(spark, [(None, A)]))
+    assert totals(r) == {("s", "en", "v1"): (12, 120)}
+    plan = r.totals()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("n_tokens#") and plan.count("parquet") == 1 and r.batches() == sorted(names)
+    c = r.compact(str(tmp_path / "c"))
+    assert c.commit("later", changes(spark, [(A, B)])) and not c.commit(names[3], changes(spark, [(None, A)]))
+    assert totals(c) == {("s", "en", "v1"): (11, 110), ("s", "en", "v2"): (1, 12)}
+    d = c.compact(str(tmp_path / "d"))
+    assert totals(d) == totals(c) and d.batches() == sorted([*names, "later"])
