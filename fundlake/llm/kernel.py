@@ -17,7 +17,8 @@ inputs of a score.
 Defined cases: a null text counts as empty and gets the score of an empty
 text; rows without an id are scored and never learnt from; rows with a null
 label are not learnt from; without any labelled row every score is 0.5.
-Repeated rows are scored row by row.  Other columns are not read.
+Repeated rows are scored row by row.  Very long texts are measured whole; an
+empty table gives no rows.  Other columns are not read.
 """
 
 from __future__ import annotations

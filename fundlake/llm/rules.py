@@ -7,7 +7,8 @@ names the failed rules.
 
 Defined cases: a null text has no words, no lines and no symbols (0 in every
 count) and fails on length; an empty or blank text likewise.  Rows are
-independent, so repeated rows and null ids give the same figures again.  Extra
+independent, so repeated rows and null ids give the same figures again.  Very
+long texts are measured whole; an empty table gives no rows.  Extra
 columns of the input, whatever their names, are not read or returned.
 """
 

@@ -24,8 +24,8 @@ chunk pair by chunk pair, so no task holds more than two chunks.
 Defined cases: null text counts as empty; a text without words has fingerprint
 zero; fewer words than the shingle length give one shingle of all words.  Null
 ids are linked like others but never name a component; a component of null ids
-only has a null id.  Repeated rows return one row each.  Other columns are not
-read.
+only has a null id.  Repeated rows return one row each.  Very long texts are
+fingerprinted whole; an empty table gives no rows.  Other columns are not read.
 """
 
 from __future__ import annotations
