@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import give_back, per_worker, small_batches, table
+from fundlake.llm.common import give_back, per_worker, slices, small_batches, table
 
 BLOCK_ROWS = 5120
 BLOCK_BYTES = 20_000_000     # of text; on average, as rows are dealt by hash
@@ -132,28 +132,24 @@ def split_words(texts):
     return words, first
 
 
-def _distinct(texts, parts: int):
-    """Sorted distinct words, their part by hash, word index by position and
-    the first word of each text."""
+def _distinct(pieces, parts: int):
+    """Sorted distinct words of some string arrays, their part by hash, and for each
+    array the words' indexes by position and the first word of each text."""
     import pyarrow as pa
     import pyarrow.compute as pc
-    split, first = [], [np.zeros(1, np.int64)]
-    for a in range(0, len(texts), 1024):
-        words, at = split_words(texts.slice(a, 1024))
-        split.append(words)
-        first.append(at[1:] + first[-1][-1])
-    coded = pa.chunked_array(split, pa.string()).dictionary_encode().combine_chunks()
-    coded = coded.chunk(0) if isinstance(coded, pa.ChunkedArray) and coded.num_chunks else coded
-    if not len(coded):
-        return [], np.zeros(0, np.int64), np.zeros(0, np.int32), np.concatenate(first)
-    own = coded.dictionary.cast(pa.binary())
+    coded, first = [], []
+    for texts in pieces:
+        words, at = split_words(_plain(texts))
+        coded.append(words.dictionary_encode())
+        first.append(at)
+    coded = pa.chunked_array(coded, pa.dictionary(pa.int32(), pa.string())).unify_dictionaries().chunks
+    own = (coded[0].dictionary if coded else pa.array([], pa.string())).cast(pa.binary())
     order = pc.sort_indices(own).to_numpy()
     rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order))
-    own = own.take(pa.array(order))
-    listed = own.to_pylist()
+    listed = own.take(pa.array(order)).to_pylist()
     part = np.fromiter(map(crc32, listed), np.int64, len(listed)) % parts
-    return listed, part, rank[coded.indices.to_numpy()], np.concatenate(first)
+    return listed, part, [(rank[c.indices.to_numpy()], at) for c, at in zip(coded, first)]
 
 
 def _pack(words: list[bytes]) -> bytes:
@@ -171,15 +167,9 @@ def _unpack(packed: bytes) -> list[bytes]:
 
 
 def _plain(texts):
-    """One contiguous string array, nulls as empty texts."""
+    """A string array, nulls as empty texts."""
     import pyarrow as pa
     import pyarrow.compute as pc
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-        if isinstance(texts, pa.ChunkedArray):
-            if texts.num_chunks > 1:
-                raise ValueError("a block holds over 2 GB of text: use a smaller block_rows")
-            texts = texts.chunk(0) if texts.num_chunks else pa.array([], pa.string())
     return pc.fill_null(texts.cast(pa.string()), "")
 
 
@@ -198,7 +188,7 @@ def block_words(docs: DataFrame, parts: int) -> DataFrame:
         held, block = [], None
 
         def flush():
-            listed, part, _, _ = _distinct(_plain(pa.chunked_array(held)), parts)
+            listed, part, _ = _distinct((x.column(1) for x in slices(held)), parts)
             for p, own in _by_part(part, parts):
                 yield pa.RecordBatch.from_pydict(
                     {"slot": pa.array([block // GROUP_BLOCKS * parts + p], pa.int64()),
@@ -214,7 +204,7 @@ def block_words(docs: DataFrame, parts: int) -> DataFrame:
                         yield from flush()
                         held = []
                     block = int(ids[a])
-                    held.append(b.column(1).slice(a, z - a))
+                    held.append(b.slice(a, z - a))
         if held:
             yield from flush()
         give_back()
@@ -282,8 +272,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def join_back(left, right):
         import pyarrow as pa
         import zstandard
-        texts = _plain(left.column("text"))
-        listed, part, index, first = _distinct(texts, parts)
+        pieces = list(slices(left.to_batches()))
+        listed, part, places = _distinct((x.column("text") for x in pieces), parts)
         sizes = np.zeros(len(listed), np.int64)
         owned, flats = dict(_by_part(part, parts)), {}
         for p, n, raw in zip(right.column("part").to_pylist(), right.column("n").to_pylist(),
@@ -295,7 +285,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             sizes[own] = np.frombuffer(raw, np.uint32, n)
             total = int(sizes[own].sum())
             flats[p] = np.frombuffer(raw, np.uint8, 4 * total, 4 * n).reshape(4, total).T.copy().view(np.uint32)[:, 0]
-        del listed
+        del listed, part
         starts = np.concatenate([[0], np.cumsum(sizes)])
         flat = np.zeros(starts[-1], np.int32)
         if flats.keys() != owned.keys():
@@ -305,15 +295,17 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             n = sizes[own]
             flat[np.repeat(starts[own] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(len(ids))] = ids
         per_word = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat))
-        ends = np.concatenate([[0], np.cumsum(sizes[index])])[first]
-        out = per_word.take(pa.array(index)).flatten() if len(index) else pa.array([], pa.int32())
-        ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), out)
-        del texts, index, per_word, flats
+        del flats, owned
+        made = []
+        places.reverse()                     # a piece's words go once its ids are there
+        for x in pieces:
+            index, first = places.pop()
+            ends = np.concatenate([[0], np.cumsum(sizes[index])])[first]
+            out = per_word.take(pa.array(index)).flatten() if len(index) else pa.array([], pa.int32())
+            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), out)
+            made.append([x.column("id"), *([ids] if finish is None else finish(ids, path))])
         give_back()
-        if finish is None:
-            return pa.Table.from_arrays([left.column("id"), ids], names)
-        made = [finish(ids.slice(a, 512), path) for a in range(0, max(len(ids), 1), 512)]
-        return pa.Table.from_arrays([left.column("id"), *map(pa.chunked_array, zip(*made))], names)
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays(m, names) for m in made])
 
     names = ["id", *(c.split()[0] for c in columns.split(", "))]
     return dealt.groupBy("block").cogroup(coded.groupBy("block")) \
