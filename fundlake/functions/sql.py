@@ -8,23 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from fundlake.functions.dates import ANY_DATE_FORMATS
-
-
-def _parse_any_date_body() -> str:
-    tries = []
-    for fmt in ANY_DATE_FORMATS:
-        seps = "".join(dict.fromkeys(ch for ch in fmt if not ch.isalpha()))
-        guard = " AND ".join(f"contains(d, '{ch}')" for ch in seps) or "TRUE"
-        tries.append(f"CASE WHEN {guard} THEN try_to_date(d, '{fmt}') END")
-    return "coalesce(" + ", ".join(tries) + ")"
+from fundlake.functions.dates import parse_any_date_sql
 
 
 def register_sql_functions(spark: SparkSession) -> None:
     """parse_any_date(d) -> DATE, try_number(s) -> DECIMAL(38,0),
     money_to_number(s) -> DECIMAL(38,0)."""
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION parse_any_date(d STRING) "
-              f"RETURNS DATE RETURN {_parse_any_date_body()}")
+              f"RETURNS DATE RETURN {parse_any_date_sql('d')}")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION try_number(s STRING) "
               "RETURNS DECIMAL(38,0) RETURN try_cast(s AS DECIMAL(38,0))")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION money_to_number(s STRING) "

@@ -87,3 +87,24 @@ def test_odd_fiscal_year_fails_loudly(spark):
     df = spark.createDataFrame([("2023-24",)], "fy string")
     with _pytest.raises(Exception, match="CAST|cast|DATETIME|date"):
         df.select(fiscal_year_start("fy")).collect()
+
+
+def test_dates_cut_by_position_equal_the_parser(spark):
+    from fundlake.functions import ANY_DATE_FORMATS
+    from fundlake.functions.sql import register_sql_functions
+    months = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+    texts = [None, "", "soon", "2023-01-15\n", "0000-01-01", "9999-12-31", "12345-01-01", "+12345-01-01", "2023-1-5",
+             "2023-01-15 ", "\uff12\uff10\uff12\uff13-01-15", "Sept 15 2023", "SEP 15 2023", "ma3 15 2023", "an 12 2023",
+             "\u017fep 15 2023", "Feb 30 2023", "Jan 00 2023", "02/31/2023", "13/13/2023", "00/01/2023", "01/00/2023",
+             "29/02/2024", "02/29/2024", "02/29/2023", "1 /12/2023", "2023-13-01", "2023-02-29", "1995-06-17x", "a/b-c d"]
+    texts += [f"{m} {d} 1996" for m in months for d in ("01", "29", "31")] + [f"{d:02}/{m:02}/2021" for d in range(34) for m in range(14)]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    parser = F.coalesce(*[F.try_to_date("x", f) for f in ANY_DATE_FORMATS])
+    register_sql_functions(spark)
+    made = df.select("x", parser.alias("a"), parse_any_date("x").alias("b"), F.expr("parse_any_date(x)").alias("c"))
+    rows = made.select("x", *[F.col(c).cast("string") for c in "abc"]).collect()   # Python has no year 0
+    assert [r for r in rows if not r.a == r.b == r.c] == [] and sum(r.a is not None for r in rows) > 400
+    # Texts of a layout's shape never reach the parser, whatever their month.
+    for col in (parse_any_date("x"), F.expr("parse_any_date(x)")):
+        plan = spark.range(1).select(F.col("id").cast("string").alias("x")).select(col)._jdf.queryExecution().optimizedPlan()
+        assert plan.toString().count("RLIKE") >= len(ANY_DATE_FORMATS)
