@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from contextlib import contextmanager
 from zlib import crc32
 from dataclasses import dataclass
 
@@ -70,6 +71,29 @@ _WRITTEN_LOCK = threading.Lock()
 
 FACTS = ("fact_applications", "fact_disbursements", "fact_enrollments")
 
+# Ids are long and alike: zstd files take well under half of snappy's bytes and
+# no more time to write.
+CODEC = "zstd"
+# A fact's task keeps a file open for each fiscal year it meets, up to this many;
+# it sorts what is left by year if it meets more.
+YEARS_AT_ONCE = 16
+
+
+@contextmanager
+def _open_files(spark: SparkSession, n: int):
+    """Writes into folders keep up to ``n`` files of a task open instead of sorting
+    its rows; the session's own setting holds again afterwards."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, n)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
 
 def _write_read(spark: SparkSession, df: DataFrame, path: str,
                 bucket: tuple | None = None, table: str | None = None,
@@ -79,16 +103,15 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str,
         # Hash-partition on the bucket column first: each task then holds
         # exactly one bucket and writes one file for it.
         (df.repartition(n, col).write.mode("overwrite").format("parquet").option("path", path)
+           .option("compression", CODEC)
            .bucketBy(n, col).sortBy(col).saveAsTable(table))
         return spark.table(table)
     if partition_by:
-        # REBALANCE groups rows by folder and lets AQE size the files: a big
-        # year is split over several tasks, small ones are merged, instead
-        # of every task writing one small file per year it holds.
-        df.hint("rebalance", partition_by).write.mode("overwrite") \
-            .partitionBy(partition_by).parquet(path)
+        # Straight from the scan into the years' folders: no shuffle and no
+        # sort, a file for each task and year it holds.
+        df.write.mode("overwrite").option("compression", CODEC).partitionBy(partition_by).parquet(path)
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", CODEC).parquet(path)
     # Read back with the written schema (partition columns keep their type)
     # and the original column order.
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
@@ -156,7 +179,10 @@ class Written:
                 assert_unique((self.star["dim_institution"], "institution_id"))
                 if self.bucket_facts is True:
                     self.bucket_facts = bucket_count(spark, f"{root}/silver/disbursements")
-            self._run_wave(wave)
+                with _open_files(spark, YEARS_AT_ONCE):
+                    self._run_wave(wave)
+            else:
+                self._run_wave(wave)
 
     def _run_wave(self, wave) -> None:
         from concurrent.futures import ThreadPoolExecutor
