@@ -65,8 +65,10 @@ def flag_orphans(child: DataFrame, parent: DataFrame, key: str, flag: str,
     pk = parent_key or key
     keys = parent.select(F.col(pk).alias("_pkey")).where(F.col("_pkey").isNotNull())
     own = F.xxhash64(*[F.col(c) for c in child.columns])
-    c = child.withColumn("_ckey", F.coalesce(F.col(key), F.concat(F.lit("\u0000"), own.cast("string"))))
-    on = (F.col("_ckey") == F.col("_pkey")) & F.col(key).isNotNull()
+    c = child
+    # The key is computed where the join needs it: no second text per row to shuffle.
+    spread_key = F.coalesce(F.col(key), F.concat(F.lit("\u0000"), own.cast("string")))
+    on = (spread_key == F.col("_pkey")) & F.col(key).isNotNull()
     if not parent_unique:
         c = c.withColumn("_csalt", F.pmod(own, F.lit(salts)).cast("int"))
         keys = keys.distinct().withColumn("_psalt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
